@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,3 +59,39 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, columns: dict[str, Sequence], types: dict[str, pa.DataType]) -> DataFrame:
+    """A table of driver-side values; Arrow keeps it a JVM-local relation."""
+    arrays = [pa.array(list(columns[c]), types[c]) for c in types]
+    return spark.createDataFrame(pa.table(arrays, names=list(types)))
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Compute a small result once and keep its rows as a local relation.
+
+    For tables whose size is bounded by classes, folds or features only.
+    """
+    return df.sparkSession.createDataFrame(df.toArrow())
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablewright_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    files = sorted(root.rglob("*.py"))
+    digest = hashlib.md5(b"".join(f.read_bytes() for f in files)).hexdigest()[:12]
+    archive = Path(tempfile.mkdtemp(prefix="tablewright-")) / f"tablewright-{digest}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in files:
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._tablewright_shipped = True
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package available to the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
