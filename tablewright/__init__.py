@@ -1,6 +1,7 @@
 """Tabular profiling, preparation, model search and scoring on Spark DataFrames."""
 
 from tablewright.operators.metrics import classification_metrics, regression_metrics
+from tablewright.plans.predictor import TablePredictor, evaluate, fit
 from tablewright.sources.matrix import load_data
 from tablewright.sources.target import load_types
 

@@ -18,7 +18,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.functions.roles import Roles
-from tablewright.operators.prepare import category_counts, numeric_statistics, present
+from tablewright.operators.prepare import Preparation, category_counts, numeric_statistics, present
 
 MAX_GRAM = 4096
 TEST = -1
@@ -317,3 +317,27 @@ def dense_map(enc: DenseEncoding, sums: np.ndarray, squares: np.ndarray) -> Feat
     rows = rows[:k] + cat_rows + rows[k:]
     names = names[:k] + cat_names + names[k:]
     return FeatureMap(np.array(rows).reshape(len(rows), enc.width), names)
+
+
+def learned_preparation(enc: DenseEncoding, sums: np.ndarray, squares: np.ndarray) -> Preparation:
+    """The same preparation as column expressions, for learners that take MLlib vectors."""
+    n = sums[0]
+    means, stds, modes, cats = {}, {}, {}, {}
+    flag_at = {j: 1 + enc.n_numbers + i for i, j in enumerate(enc.missing_numbers)}
+    for j, name in enumerate(enc.roles.numerical):
+        gone = sums[flag_at[j]] if j in flag_at else 0.0
+        if n - gone <= 0:
+            continue
+        mean = sums[1 + j] / (n - gone)
+        var = (squares[1 + j] + gone * mean * mean) / n - mean * mean
+        means[name] = float(enc.shifts[j] + enc.scales[j] * mean)
+        stds[name] = float(enc.scales[j] * np.sqrt(var)) if var > 1e-12 else 0.0
+    at = 1 + enc.n_numbers + len(enc.missing_numbers)
+    for j, words in enumerate(enc.vocab):
+        counts = sums[at : at + len(words)]
+        at += len(words)
+        if len(words) and counts.max() > 0:
+            name = enc.roles.categorical[j]
+            modes[name] = words[int(np.argmax(counts))]
+            cats[name] = [w for w, c in zip(words, counts) if c > 0]
+    return Preparation(enc.roles, means, stds, modes, cats)

@@ -6,13 +6,16 @@ that table has at most classes² rows and is the only thing ever shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 MAX_REPORT_CLASSES = 10
 
 
-def pair_counts(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
-    return df.groupBy(F.col(truth).alias("actual"), F.col(pred).alias("predicted")).agg(F.count("*").alias("n"))
+def pair_counts(df: DataFrame, truth: str = "y", pred: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    """``by`` columns keep several predictions apart, for example one per model."""
+    return df.groupBy(*by, F.col(truth).alias("actual"), F.col(pred).alias("predicted")).agg(F.count("*").alias("n"))
 
 
 def confusion_matrix(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
@@ -34,10 +37,11 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def per_class(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
+def per_class(df: DataFrame, truth: str = "y", pred: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """``label, tp, support, predicted, precision, recall, f1`` over the label union."""
-    counts = pair_counts(df, truth, pred)
+    counts = pair_counts(df, truth, pred, by)
     sides = counts.select(
+        *by,
         F.explode(
             F.array(
                 F.struct(
@@ -54,11 +58,12 @@ def per_class(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
                 ),
             )
         ).alias("s")
-    ).select("s.*")
-    c = sides.groupBy("label").agg(
+    ).select(*by, "s.*")
+    c = sides.groupBy(*by, "label").agg(
         F.sum("hit").alias("tp"), F.sum("as_truth").alias("support"), F.sum("as_pred").alias("predicted")
     )
     return c.select(
+        *by,
         "label",
         "tp",
         "support",
@@ -82,9 +87,9 @@ def _averaged(metric: str, average: str) -> Column:
 
 
 def classification_metrics(df: DataFrame, truth: str = "y", pred: str = "p", proba: str | None = None,
-                           average: str = "weighted") -> DataFrame:
-    """One row of metrics; ``roc_auc`` is added for a binary target with scores."""
-    out = per_class(df, truth, pred).agg(
+                           average: str = "weighted", by: Sequence[str] = ()) -> DataFrame:
+    """One row of metrics (per ``by`` group); ``roc_auc`` is added for a binary target with scores."""
+    out = per_class(df, truth, pred, by).groupBy(*by).agg(
         F.sum("support").alias("n"),
         _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
         _averaged("precision", average).alias("precision"),
@@ -166,11 +171,11 @@ def roc_auc(df: DataFrame, truth: str, score: str, buckets: int = 4096) -> DataF
     return ranked.agg(F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
 
 
-def regression_metrics(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
-    """One row; ``mape`` is null unless every truth and prediction is positive."""
+def regression_metrics(df: DataFrame, truth: str = "y", pred: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    """One row (per ``by`` group); ``mape`` is null unless every truth and prediction is positive."""
     y, p = F.col(truth).cast("double"), F.col(pred).cast("double")
     r = y - p
-    agg = df.agg(
+    agg = df.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.avg(r * r).alias("mse"),
         F.avg(F.abs(r)).alias("mae"),
@@ -195,6 +200,7 @@ def regression_metrics(df: DataFrame, truth: str = "y", pred: str = "p") -> Data
         )
 
     return agg.select(
+        *by,
         "n",
         "mse",
         F.sqrt("mse").alias("rmse"),
