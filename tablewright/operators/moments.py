@@ -33,6 +33,27 @@ def tree_sum(partials: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+FEW_PARTS = 64
+
+
+def total_of(rows: DataFrame, partials: DataFrame, keys: list[str], value: str) -> dict[tuple, np.ndarray]:
+    """Sums per key on the driver. The keys number folds x classes at most.
+
+    Up to 64 tasks send their vectors straight back; beyond that the JVM adds
+    them up in two levels first.
+    """
+    if rows.rdd.getNumPartitions() > FEW_PARTS:
+        partials = tree_sum(partials, keys, value)
+    out: dict[tuple, np.ndarray] = {}
+    table = partials.select(*keys, value).toArrow()
+    names = [table.column(k).to_pylist() for k in keys]
+    for i, v in enumerate(table.column(value)):
+        key = tuple(n[i] for n in names)
+        v = v.values.to_numpy(zero_copy_only=False)
+        out[key] = out[key] + v if key in out else v
+    return out
+
+
 @dataclass
 class Moments:
     """Sums per fold (and class) as arrays: [fold] or [fold, class] first."""
@@ -113,8 +134,7 @@ def fold_moments(rows: DataFrame, enc, k: int, n_classes: int = 1, gram: bool =
         np.zeros((k, d, d)) if gram or class_gram else None, np.zeros((k, d)), np.zeros(k),
         np.zeros((k, n_classes, d, d)) if class_gram else None,
     )
-    for kind, f, c, v in tree_sum(partials, ["kind", "fold", "cls"], "stats").collect():
-        v = np.asarray(v)
+    for (kind, f, c), v in total_of(rows, partials, ["kind", "fold", "cls"], "stats").items():
         if kind == "xy":
             out.xy[f], out.yy[f] = v[:d], v[d]
         elif kind == "class":
@@ -186,7 +206,7 @@ def fourth_moments(rows: DataFrame, enc, m: Moments, maps) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["stats"])
 
     partials = map_arrow(rows.where(F.col("fold") != TEST), accumulate, "stats array<double>")
-    got = tree_sum(partials.withColumn("k", F.lit(0)), ["k"], "stats").first()["stats"]
-    total = np.asarray(got).reshape(k + 1, n_classes, 2)
+    got = total_of(rows, partials.withColumn("k", F.lit(0)), ["k"], "stats")[(0,)]
+    total = got.reshape(k + 1, n_classes, 2)
     shared.unpersist()
     return total[:, :, 0] / np.maximum(total[:, :, 1], 1)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions.roles import Roles
-from tablewright.operators import closed
+from tablewright.operators import closed, linear
 from tablewright.operators.design import dense_encoding, dense_rows, sparse_rows, SparseEncoding
 from tablewright.operators.linear import Objective, fit_linear, objective, slopes
 from tablewright.operators.moments import feature_maps, fold_moments, fourth_moments
@@ -251,12 +251,15 @@ REG_POINTS = [
 ]
 
 
+@pytest.mark.parametrize("newton", [True, False])
 @pytest.mark.parametrize("target,points", [("cls2", CLS_POINTS), ("y", REG_POINTS)])
-def test_iterative_models_reach_the_optimum(setup, target, points):
+def test_iterative_models_reach_the_optimum(setup, target, points, newton, monkeypatch):
+    if not newton:
+        monkeypatch.setattr(linear, "MAX_NEWTON", 0)
     pdf, enc, made = setup
     rows, m, maps = made[target]
     t = 1
-    fitted = fit_linear(rows, enc, m, maps, points, subsets=[t], max_passes=150, tol=1e-6)
+    fitted = fit_linear(rows, enc, m, maps, points, subsets=[t], max_passes=150, tol=1e-5)
     tr = subset(pdf, t)
     x, _ = prepare(tr, pdf)
     y = tr[target].to_numpy()
