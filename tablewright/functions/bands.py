@@ -40,5 +40,5 @@ def time_budget_seconds(n: Column, d: Column) -> Column:
 
 
 def percent_text(x: Column, digits: int) -> Column:
-    """x is a fraction; '12.34%'."""
-    return F.format_string(f"%.{digits}f%%", x * 100)
+    """x is a fraction; '12.34%'. Halves go to the even digit."""
+    return F.format_string(f"%.{digits}f%%", F.bround(x * 100, digits))
