@@ -16,7 +16,7 @@ from tablewright.operators.metrics import classification_metrics, regression_met
 from tablewright.operators.scoring import evaluate_scorers
 from tablewright.operators.trees import fit_tree
 from tablewright.plans.search import TrainingTable, closed_scorer
-from tablewright.session import small_table
+from tablewright.session import small_table, spread
 
 reg = Registry()
 K = 3
@@ -28,7 +28,7 @@ WIDE = Roles(("l_quantity", "l_extendedprice", "x_discount", "l_tax"), ("x_statu
 
 
 def _rows(spark, sf, target: str) -> DataFrame:
-    li = with_gaps(lineitem(spark, sf))
+    li = spread(with_gaps(lineitem(spark, sf)))
     return li.withColumn("fold", F.pmod(hash_order(KEYS), F.lit(K)).cast("int")).withColumn("y", F.expr(target).cast("double"))
 
 

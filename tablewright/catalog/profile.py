@@ -18,6 +18,7 @@ from tablewright.operators.profile import (
     sparse_shape,
     treatment_distribution,
 )
+from tablewright.session import spread
 
 reg = Registry()
 NUMBERS = ["l_quantity", "l_extendedprice", "x_discount", "l_tax"]
@@ -29,7 +30,7 @@ def _gaps(spark, sf):
 
 def term_rows(spark, sf):
     """Documents as sparse rows: counts of words by first letter (26 columns)."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     letters = F.filter(F.transform(F.split(F.lower("text"), r"[^a-z]+"), lambda w: F.ascii(F.substring(w, 1, 1)) - 97),
                        lambda c: (c >= 0) & (c < 26))
     counts = d.select("doc_id", "lang", F.explode(letters).alias("idx")).groupBy("doc_id", "lang", "idx").agg(

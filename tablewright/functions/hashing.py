@@ -20,7 +20,9 @@ def key_text(keys: Sequence[str], seed: int) -> Column:
 
 def hash_order(keys: Sequence[str], seed: int = 42) -> Column:
     """Unsigned 32-bit number from the first eight hex digits of md5(key|seed)."""
-    return F.conv(F.substring(F.md5(key_text(keys, seed)), 1, 8), 16, 10).cast("bigint")
+    h = F.conv(F.substring(F.md5(key_text(keys, seed)), 1, 8), 16, 10).cast("bigint")
+    # never null; saying so spares joins on it a null filter that would hash every row again
+    return F.coalesce(h, F.lit(0).cast("bigint"))
 
 
 def hash_rank_key(keys: Sequence[str], seed: int = 42) -> Column:

@@ -159,14 +159,15 @@ def dense_encoding(df: DataFrame, roles: Roles) -> DenseEncoding:
     numeric range of the encoding; what a fold learns comes from its own rows."""
     numbers = list(roles.numerical) + list(roles.other)
     shifts, scales = np.zeros(len(numbers)), np.ones(len(numbers))
-    n_rows = df.count()
-    gone = []
+    gone, n_rows = [], None
     if numbers:
         for r in numeric_statistics(df, numbers).collect():
+            n_rows = r["n"]
             shifts[r["idx"]] = r["mean"] or 0.0
             scales[r["idx"]] = r["std"] or 1.0
             if r["n_present"] < n_rows:
                 gone.append(r["idx"])
+    n_rows = df.count() if n_rows is None else n_rows
     vocab: list[tuple[str, ...]] = [() for _ in roles.categorical]
     gone_cat = []
     if roles.categorical:
@@ -213,12 +214,6 @@ def sparse_rows(df: DataFrame, y: str, fold: str, keep: Sequence[str] = ()) -> D
     return df.select(*keep, F.col(fold).cast("int").alias("fold"), F.col(y).cast("double").alias("y"), "indices", "values")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small input; a large scan already has enough splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
-
-
 def batches(enc, it: Iterator[pa.RecordBatch]):
     for rb in it:
         if rb.num_rows:

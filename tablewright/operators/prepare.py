@@ -31,7 +31,7 @@ def present(c: str) -> Column:
 
 
 def numeric_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``idx, mean, std, n_present`` per numeric column; std as after mean imputation.
+    """``idx, n, mean, std, n_present`` per numeric column; std as after mean imputation.
 
     Imputing the mean adds rows without spread, so the population variance
     shrinks by the share of present values.
@@ -51,7 +51,7 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.count("val").alias("n_present"),
         )
     return stats.select(
-        "idx", "mean", F.sqrt(F.col("var") * F.try_divide("n_present", "n")).alias("std"), "n_present"
+        "idx", "n", "mean", F.sqrt(F.col("var") * F.try_divide("n_present", "n")).alias("std"), "n_present"
     )
 
 

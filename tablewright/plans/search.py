@@ -29,13 +29,13 @@ from tablewright.operators.design import (
     dense_rows,
     learned_preparation,
     sparse_rows,
-    spread,
 )
 from tablewright.operators.linear import fit_linear
 from tablewright.operators.moments import Moments, feature_maps, fold_moments, fourth_moments
 from tablewright.operators.scoring import evaluate_scorers, predict_rows
 from tablewright.operators.trees import TreeModel, fit_tree, sparse_vectors
 from tablewright.plans.roster import CLS, Candidate, distinct_points
+from tablewright.session import spread
 
 CLOSED = ("RidgeClassifier", "LDA", "GaussianNB", "MultinomialNB", "Ridge", "Lasso", "ElasticNet")
 ITERATIVE = ("LinearSVC", "SGDClassifier", "LogisticRegression", "LinearSVR", "SGDRegressor")
@@ -80,12 +80,11 @@ class TrainingTable:
         self.df, self.task, self.k, self.keep = df, task, k, keep or {}
         self.n_classes = n_classes if task == CLS else 1
         self.sparse = roles is None
-        train = df.where(F.col("fold") != TEST)
         if self.sparse:
             self.enc = SparseEncoding(n_features)
             rows = sparse_rows(df, "y", "fold", list(self.keep))
         else:
-            self.enc = dense_encoding(train, roles)
+            self.enc = dense_encoding(df, roles)
             rows = dense_rows(df, self.enc, "y", "fold", list(self.keep))
         self.rows = spread(rows).persist()
         self.moments: Moments | None = None
