@@ -7,9 +7,12 @@ that table has at most classes² rows and is the only thing ever shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tablewright.session import pinned
+
 MAX_REPORT_CLASSES = 10
 
 
@@ -138,7 +141,24 @@ def score_groups(df: DataFrame, truth: str, score: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, truth: str, score: str, buckets: int = 4096) -> DataFrame:
+def score_ranges(groups: DataFrame, side: int = 64) -> DataFrame:
+    """Adds ``b``, the number of the score's range, growing with the score.
+
+    The ranges hold about equally many distinct scores; they are looked up in
+    two steps of ``side`` boundaries each.
+    """
+    at = [i / (side * side) for i in range(1, side * side)]
+    q = groups.agg(F.percentile_approx("score", at, 100_000).alias("q")).first()["q"] or [0.0] * len(at)
+    above = lambda v: (F.col("score") > v).cast("int")
+    first = reduce(lambda a, b: a + b, [above(F.lit(v)) for v in q[side - 1 :: side]])
+    # the i-th inner boundary of every outer range, picked by the outer range
+    inner = [F.get(F.array(*[F.lit(q[side * j + i]) for j in range(side)]), F.col("outer")) for i in range(side - 1)]
+    return groups.withColumn("outer", first).withColumn(
+        "b", F.col("outer") * side + reduce(lambda a, b: a + b, [above(v) for v in inner])
+    ).drop("outer")
+
+
+def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Exact area under the ROC curve (ties count one half).
 
     The prefix sum over scores runs in two levels: totals per score range first,
@@ -146,23 +166,13 @@ def roc_auc(df: DataFrame, truth: str, score: str, buckets: int = 4096) -> DataF
     Only 0/1 truths with both classes present give a value.
     """
     groups = score_groups(df, truth, score)
-    span = groups.agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
-    located = groups.join(F.broadcast(span)).select(
-        "score",
-        "pos",
-        "neg",
-        F.least(
-            F.lit(buckets - 1),
-            F.floor(F.coalesce(F.try_divide(F.col("score") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * buckets),
-        ).alias("b"),
-    )
-    per_bucket = located.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    below = per_bucket.select(
-        "b",
-        F.coalesce(F.sum("bneg").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("neg_below"),
-    )
+    located = score_ranges(groups)
+    per_range = located.groupBy("b").agg(F.sum("neg").alias("bneg"))
+    before = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    # one row per range, 4096 at most
+    below = pinned(per_range.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("neg_below")))
     inside = W.partitionBy("b").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
-    ranked = located.join(below, "b").select(
+    ranked = located.join(F.broadcast(below), "b").select(
         "pos",
         "neg",
         (F.col("neg_below") + F.coalesce(F.sum("neg").over(inside), F.lit(0))).alias("smaller"),

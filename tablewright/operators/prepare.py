@@ -184,19 +184,12 @@ def max_abs_scale(cells: DataFrame) -> DataFrame:
 
 def scale_without_centering(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """x / std (population); a constant column is left as it is."""
-    stats = numeric_statistics(df, columns).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("idx", "std"))), lambda s: s["std"]).alias("stds")
-    )
-    # one row holding one number per column
-    joined = df.join(F.broadcast(stats))
-    out = []
-    for i, c in enumerate(columns):
-        std = F.get("stds", F.lit(i))
-        out.append((F.col(c).cast("double") / F.when(std > 0, std).otherwise(1.0)).alias(c))
-    return joined.select(*keep, *out)
+    # one number per column
+    stds = {r["idx"]: r["std"] or 1.0 for r in numeric_statistics(df, columns).collect()}
+    return df.select(*keep, *[(F.col(c).cast("double") / F.lit(stds[i])).alias(c) for i, c in enumerate(columns)])
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    means = df.agg(*[F.avg(present(c)).alias(f"__m_{c}") for c in columns])
-    joined = df.join(F.broadcast(means))
-    return joined.select(*keep, *[F.coalesce(present(c), F.col(f"__m_{c}")).alias(c) for c in columns])
+    """Columns without any value stay null."""
+    means = {r["idx"]: r["mean"] for r in numeric_statistics(df, columns).collect()}
+    return df.select(*keep, *[F.coalesce(present(c), F.lit(means[i]).cast("double")).alias(c) for i, c in enumerate(columns)])
