@@ -7,8 +7,8 @@ that table has at most classes² rows and is the only thing ever shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablewright.session import pinned
@@ -135,27 +135,23 @@ def class_report(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
 
 def score_groups(df: DataFrame, truth: str, score: str) -> DataFrame:
     """``score, pos, neg`` per distinct score."""
-    return df.groupBy(F.col(score).alias("score")).agg(
+    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(truth).cast("bigint")).alias("pos"),
         F.sum(1 - F.col(truth).cast("bigint")).alias("neg"),
     )
 
 
-def score_ranges(groups: DataFrame, side: int = 64) -> DataFrame:
+def score_ranges(groups: DataFrame, ranges: int = 4096) -> DataFrame:
     """Adds ``b``, the number of the score's range, growing with the score.
 
-    The ranges hold about equally many distinct scores; they are looked up in
-    two steps of ``side`` boundaries each.
+    The ranges hold about equally many distinct scores.
     """
-    at = [i / (side * side) for i in range(1, side * side)]
-    q = groups.agg(F.percentile_approx("score", at, 100_000).alias("q")).first()["q"] or [0.0] * len(at)
-    above = lambda v: (F.col("score") > v).cast("int")
-    first = reduce(lambda a, b: a + b, [above(F.lit(v)) for v in q[side - 1 :: side]])
-    # the i-th inner boundary of every outer range, picked by the outer range
-    inner = [F.get(F.array(*[F.lit(q[side * j + i]) for j in range(side)]), F.col("outer")) for i in range(side - 1)]
-    return groups.withColumn("outer", first).withColumn(
-        "b", F.col("outer") * side + reduce(lambda a, b: a + b, [above(v) for v in inner])
-    ).drop("outer")
+    at = [i / ranges for i in range(1, ranges)]
+    q = groups.agg(F.percentile_approx("score", at, 100_000).alias("q")).first()["q"] or []
+    bounds = [float("-inf"), *sorted({float(v) for v in q if abs(float(v)) != float("inf")}), float("inf")]
+    if len(bounds) < 3:
+        return groups.withColumn("b", F.lit(0.0))
+    return Bucketizer(splits=bounds, inputCol="score", outputCol="b", handleInvalid="keep").transform(groups)
 
 
 def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
