@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SUB_BATCH_BYTES = 4 << 20
+SUB_BATCH_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

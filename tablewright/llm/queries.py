@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablewright.llm import grammar_ids, packing, token_counts
+from tablewright.llm import decontaminate, exact_dedup, grammar_ids, packing, sharding, token_counts
 
-MODULES = (token_counts, packing, grammar_ids)
+MODULES = (sharding, decontaminate, token_counts, packing, grammar_ids, exact_dedup)
 
 
 def all_queries():
