@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from tablewright.session import materialize
 
 SUB_BATCH_BYTES = 2 << 20
 
@@ -46,6 +48,26 @@ def without(docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: s
     return docs.join(named, same, "left_anti")
 
 
+def keep_marked(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``marks`` (doc_id, text_key, kept; one row for each of theirs) keeps.
+
+    Rows are known by id and text. Of rows that repeat both, one stays if any is
+    marked; null ids match null ids.
+    """
+    found = materialize(marks.select("doc_id", "text_key", "kept"), "marks")
+    pairs = found.groupBy("doc_id", "text_key").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    out = without(docs, pairs.where("n > 1 or not stays"), id_col, text_col)
+    twice = pairs.where("n > 1 and stays")
+    if twice.isEmpty():
+        return out
+    mark = "key_"
+    while mark in docs.columns:
+        mark += "_"
+    named = twice.select(twice["doc_id"].alias("kept_id"), twice["text_key"].alias("kept_key"))
+    again = docs.join(named, docs[id_col].cast("long").eqNullSafe(named["kept_id"]) & (text_key(docs[text_col]) == named["kept_key"]), "left_semi")
+    return out.unionByName(again.withColumn(mark, text_key(F.col(text_col))).dropDuplicates([id_col, mark]).drop(mark))
+
+
 def class_rank(df: DataFrame, cls: Sequence[str], salt: Column, order: Sequence[Column], name: str = "rank",
                keep: DataFrame | None = None) -> DataFrame:
     """Gapless rank from 0 within each class, without gathering a class in one task.
@@ -54,8 +76,6 @@ def class_rank(df: DataFrame, cls: Sequence[str], salt: Column, order: Sequence[
     salt begins. The counts are summed before the shuffle and number classes x
     salts, so the window over them stays small however large a class is.
     """
-    from pyspark.sql import Window
-
     salted = df.withColumn("salt_", salt)
     counts = salted.groupBy(*cls, "salt_").agg(F.count(F.lit(1)).alias("n_"))
     before = Window.partitionBy(*cls).orderBy("salt_").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tablewright.llm.common import documents, id_and_text
+from tablewright.llm.common import documents, id_and_text, keep_marked, text_key
 from tablewright.session import materialize
 
 
@@ -20,7 +20,7 @@ def content_hash(text: Column) -> Column:
 
 
 def digests(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, keep_id, group_size, kept, text_sha256 and content_hash.
+    """Per row: doc_id, keep_id, group_size, kept, text_sha256 and text_key.
 
     Rows are grouped by hash; texts of one hash are compared byte by byte, and
     where they differ the hash is told apart by a variant number. The row with
@@ -29,11 +29,11 @@ def digests(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash,
     never meet in a group: only (hash, text) pairs are aggregated, before and
     after the shuffle, and rows join their group's smallest id.
     """
-    own = id_and_text(docs, id_col, text_col).select("doc_id", normalised(F.col("text")).alias("text"))
-    own = own.select("doc_id", "text", hashed(F.col("text")).alias("content_hash"))
+    own = id_and_text(docs, id_col, text_col).select("doc_id", text_key(F.col("text")).alias("text_key"), normalised(F.col("text")).alias("text"))
+    own = own.select("doc_id", "text_key", "text", hashed(F.col("text")).alias("content_hash"))
 
     def rows(texts: DataFrame, variant: Column) -> DataFrame:
-        found = texts.select("doc_id", "content_hash", variant.cast("int").alias("variant"), F.sha2("text", 256).alias("text_sha256"))
+        found = texts.select("doc_id", "text_key", "content_hash", variant.cast("int").alias("variant"), F.sha2("text", 256).alias("text_sha256"))
         return materialize(found.withColumn("uid", F.monotonically_increasing_id()), "digests")
 
     found = rows(own, F.lit(0))
@@ -53,33 +53,17 @@ def digests(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash,
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce(F.col("n"), F.lit(1)).cast("long").alias("group_size"),
         (F.col("n").isNull() | (F.col("uid") == F.col("first.uid"))).alias("kept"),
-        "text_sha256", "content_hash",
+        "text_sha256", "text_key",
     )
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return digests(docs, content_hash, id_col, text_col).drop("content_hash")
+    return digests(docs, content_hash, id_col, text_col).drop("text_key")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they are."""
-    found = materialize(digests(docs, content_hash, id_col, text_col).select("doc_id", "kept", "text_sha256"), "kept")
-    pairs = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
-    sha = F.sha2(normalised(docs[text_col]), 256)
-
-    def named(some: DataFrame) -> tuple[DataFrame, Column]:
-        ids = some.select(F.col("doc_id").alias("named_id"), F.col("text_sha256").alias("named_sha"))
-        return ids, docs[id_col].cast("long").eqNullSafe(ids["named_id"]) & (sha == ids["named_sha"])
-
-    out = docs.join(*named(pairs.where("n > 1 or not stays")), "left_anti")
-    twice = pairs.where("n > 1 and stays")
-    if twice.isEmpty():
-        return out
-    mark = "sha_"
-    while mark in docs.columns:
-        mark += "_"
-    again = docs.join(*named(twice), "left_semi").withColumn(mark, F.sha2(normalised(F.col(text_col)), 256))
-    return out.unionByName(again.dropDuplicates([id_col, mark]).drop(mark))
+    return keep_marked(docs, digests(docs, content_hash, id_col, text_col), id_col, text_col)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

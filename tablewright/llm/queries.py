@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablewright.llm import decontaminate, exact_dedup, grammar_ids, packing, sharding, token_counts, toxicity
+from tablewright.llm import decontaminate, exact_dedup, grammar_ids, near_dup, packing, sharding, token_counts, toxicity
 
-MODULES = (sharding, decontaminate, token_counts, packing, grammar_ids, exact_dedup, toxicity)
+MODULES = (sharding, decontaminate, token_counts, packing, near_dup, grammar_ids, exact_dedup, toxicity)
 
 
 def all_queries():

@@ -29,7 +29,7 @@ BITS = 17  # buckets
 WIDTH = 8  # of an embedding
 SCALE = 30.0  # of the averaged embedding
 PRIOR = 1000.0  # neutral subwords added to every text: a few words alone prove little
-EPOCHS, BATCH, RATE = 16, 32, 0.5
+STEPS, BATCH, RATE = 3000, 32, 0.5
 THRESHOLD = 0.5
 FOLDS = 5  # rows whose crc32(id) divides by this are never learned from
 
@@ -142,9 +142,10 @@ def _descend(ids: np.ndarray, shares: np.ndarray, ends: np.ndarray, labels: np.n
     table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH)).astype(np.float32)
     layer, bias = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
     batches = -(-len(labels) // BATCH)
-    for epoch in range(EPOCHS):
+    epochs = -(-STEPS // batches)
+    for epoch in range(epochs):
         for k, chosen in enumerate(np.array_split(rng.permutation(len(labels)), batches)):
-            step_rate = rate * (1 - (epoch * batches + k) / (EPOCHS * batches))
+            step_rate = rate * (1 - (epoch * batches + k) / (epochs * batches))
             n = ends[chosen + 1] - ends[chosen]
             chosen, n = chosen[n > 0], n[n > 0]  # a text without words says nothing
             if not len(chosen):

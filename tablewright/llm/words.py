@@ -43,6 +43,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def chained(hashes: np.ndarray, bounds: np.ndarray, kind: int) -> np.ndarray:
+    """A 64-bit hash of each text's word sequence; every ``kind`` is an independent one."""
+    up, down = _grown(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mixed(hashes ^ np.uint64(kind * 0x1000193)) * up[: len(hashes)], out=sums[1:])
+    n = np.diff(bounds).astype(np.uint64)
+    return mixed((sums[bounds[1:]] - sums[bounds[:-1]]) * down[bounds[:-1]] + n)
+
+
 @dataclass
 class Words:
     """All words of a run of texts; text i has the words bounds[i] .. bounds[i + 1]."""
