@@ -44,7 +44,7 @@ _NAME = r"[^\W\d_][^\W\d_'’-]*(?:[-’'][^\W\d_]+)?"
 ENTITY = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})"
     r"|(?P<access>(?<!\w)(?:A[KS]IA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?!\w))"
-    r"|(?i:password|passwd|pwd|secret|token|api_?key)[ ]?[=:][ ]?[\"']?(?P<secret>[^\s\"',;]{6,128})"
+    r"|(?i:password|passwd|pwd|secret|token|api_?key)[ ]?[=:][ ]?[\"']?(?P<secret>[^\s\"',;]{5,127}[^\s\"',;.!?)])"
     r"|[\"'](?P<quoted>[0-9a-f]{32,128})[\"']"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))"
     r"|(?P<card>(?<![\w+-])\d(?:[ -]?\d){12,18}(?!\w))"
