@@ -81,15 +81,15 @@ def _folder(spark: SparkSession, sf: str) -> str:
     """Three dataset folders, one of them without a target."""
     root = scratch_path(spark, "datasets")
     o = _orders(spark, sf)
-    types = table(spark, sf, "region").where("r_regionkey < 4")
+    types = spark.range(4)  # a line for each of the four columns
     for name, parts in (("full", "dst"), ("bare", "ds"), ("untargeted", "d")):
         base = f"{root}/{name}/{name}"
         write_lines(o, _dense_line(), ["o_orderkey"], f"{base}.data")
         if "s" in parts:
             write_lines(o, _one_hot_line(), ["o_orderkey"], f"{base}.solution")
         if "t" in parts:
-            role = F.when(F.col("r_regionkey") == 2, "Categorical").otherwise("Numerical")
-            write_lines(types, role, ["r_regionkey"], f"{base}.type")
+            role = F.when(F.col("id") == 2, "Categorical").otherwise("Numerical")
+            write_lines(types, role, ["id"], f"{base}.type")
     return root
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -15,6 +16,7 @@ from tablewright.operators.linear import fit_linear
 from tablewright.operators.metrics import classification_metrics, regression_metrics
 from tablewright.operators.scoring import evaluate_scorers
 from tablewright.operators.trees import fit_tree
+from tablewright.plans.roster import SGD_CLASSIFIER, SGD_REGRESSOR, Candidate, distinct_points
 from tablewright.plans.search import TrainingTable, closed_scorer
 from tablewright.session import small_table, spread
 
@@ -77,7 +79,7 @@ def _closed(spark, t: TrainingTable, model: str, points: list[dict], params: lis
 
 def _iterative(spark, t: TrainingTable, points: list[tuple[str, dict]], params: list[str]) -> DataFrame:
     t.learn(True, False)
-    made = fit_linear(t.rows, t.enc, t.moments, t.maps, points, list(range(K)), 40)
+    made = fit_linear(t.rows, t.enc, t.moments, t.maps, points, list(range(K)))
     got = evaluate_scorers(t.rows, t.enc, made, t.task)
     t.close()
     return _scores(spark, [p for _, p in points], got, params, 4)
@@ -288,13 +290,13 @@ def linear_svc(spark, sf):
 
 @reg("g01_linear_svc_sparse")
 def linear_svc_sparse(spark, sf):
-    points = [("LinearSVC", {"C": c}) for c in (0.1, 1)]
+    points = [("LinearSVC", {"C": c}) for c in (0.1, 1, 10)]
     return _iterative(spark, _terms(spark, sf), points, ["C"])
 
 
 @reg("g03_sgd_classifier")
 def sgd_classifier(spark, sf):
-    points = [("SGDClassifier", {"loss": l, "alpha": 0.001, "l1_ratio": r}) for l in ("log_loss", "hinge", "modified_huber") for r in (0, 0.5, 1)]
+    points = [("SGDClassifier", p) for p in distinct_points(Candidate("SGDClassifier", SGD_CLASSIFIER))]
     return _iterative(spark, _dense(spark, sf, CLS2_SQL, "classification", 2, WIDE), points, ["loss", "alpha", "l1_ratio"])
 
 
@@ -312,29 +314,31 @@ def logistic_liblinear(spark, sf):
 
 @reg("g14_linear_svr")
 def linear_svr(spark, sf):
-    points = [("LinearSVR", {"C": c, "epsilon": e, "loss": l}) for c in (0.1, 10) for e in (0.1, 0.5)
+    points = [("LinearSVR", {"C": c, "epsilon": e, "loss": l}) for c in (0.1, 1, 10) for e in (0.1, 0.2, 0.5)
               for l in ("epsilon_insensitive", "squared_epsilon_insensitive")]
     return _iterative(spark, _dense(spark, sf, REG_SQL, "regression", roles=WIDE), points, ["C", "epsilon", "loss"])
 
 
 @reg("g15_sgd_regressor")
 def sgd_regressor(spark, sf):
-    points = [("SGDRegressor", {"loss": l, "alpha": 0.001, "l1_ratio": r}) for l in ("squared_error", "huber", "epsilon_insensitive") for r in (0, 0.5)]
+    points = [("SGDRegressor", p) for p in distinct_points(Candidate("SGDRegressor", SGD_REGRESSOR))]
     return _iterative(spark, _dense(spark, sf, REG_SQL, "regression", roles=WIDE), points, ["loss", "alpha", "l1_ratio"])
 
 
-# --- trees: trained on two folds, measured on the third --------------------------------------------
+# --- trees: trained on two folds, measured on the third, for every fold --------------------------------------------
 
 def _tree(model: str, params: dict, target: str, task: str, n_classes: int = 0):
     def run(spark, sf):
         df = _rows(spark, sf, target).withColumn("rid", F.xxhash64(*KEYS)).select("rid", "fold", "y", *WIDE.numerical, *WIDE.categorical)
         t = TrainingTable(df, task, n_classes, K, WIDE, None, {"rid": "bigint"})
         t.learn(False, False)
-        data = t.train_vectors(0).withColumn("val", F.pmod("rid", F.lit(10)) == 0)
-        fitted = fit_tree(model, params, data, task, n_classes, "val" if model == "GradientBoosting" else None)
-        out = fitted.predict(t.held_vectors(0).select("y", "features"))
         measure = classification_metrics if task == "classification" else regression_metrics
-        return measure(out)
+        found = []
+        for fold in range(K):
+            data = t.train_vectors(fold).withColumn("val", F.pmod("rid", F.lit(10)) == 0)
+            fitted = fit_tree(model, params, data, task, n_classes, "val" if model == "GradientBoosting" else None, bins=t.bins())
+            found.append(measure(fitted.predict(t.held_vectors(fold).select("y", "features"))).withColumn("fold", F.lit(fold)))
+        return reduce(lambda a, b: a.unionByName(b), found)
 
     return run
 
@@ -344,11 +348,11 @@ for _name, _args in {
     "g08_tree_classes": ("DecisionTree", {"max_depth": 10, "min_samples_leaf": 5, "criterion": "entropy"}, CLS3_SQL, C, 3),
     "g09_forest_classes": ("RandomForest", {"n_estimators": 50, "max_depth": 5, "max_features": "sqrt"}, CLS3_SQL, C, 3),
     "g10_extra_trees_classes": ("ExtraTrees", {"n_estimators": 50, "max_depth": 5}, CLS3_SQL, C, 3),
-    "g11_boosted_classes": ("GradientBoosting", {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}, CLS3_SQL, C, 3),
+    "g11_boosted_classes": ("GradientBoosting", {"n_estimators": 50, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}, CLS3_SQL, C, 3),
     "g18_forest_values": ("RandomForest", {"n_estimators": 50, "max_depth": 5, "max_features": None}, REG_SQL, R),
     "g19_tree_values": ("DecisionTree", {"max_depth": 10, "min_samples_leaf": 5}, REG_SQL, R),
     "g20_extra_trees_values": ("ExtraTrees", {"n_estimators": 50, "max_depth": 5}, REG_SQL, R),
-    "g21_boosted_values": ("GradientBoosting", {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}, REG_SQL, R),
+    "g21_boosted_values": ("GradientBoosting", {"n_estimators": 50, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}, REG_SQL, R),
 }.items():
     reg(_name)(_tree(*_args))
 

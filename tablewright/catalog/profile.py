@@ -18,6 +18,7 @@ from tablewright.operators.profile import (
     sparse_shape,
     treatment_distribution,
 )
+from tablewright.sources.matrix import add_duplicates
 from tablewright.session import spread
 
 reg = Registry()
@@ -33,16 +34,10 @@ def term_rows(spark, sf):
     d = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     letters = F.filter(F.transform(F.split(F.lower("text"), r"[^a-z]+"), lambda w: F.ascii(F.substring(w, 1, 1)) - 97),
                        lambda c: (c >= 0) & (c < 26))
-    counts = d.select("doc_id", "lang", F.explode(letters).alias("idx")).groupBy("doc_id", "lang", "idx").agg(
-        F.count("*").cast("double").alias("val")
-    )
-    cells = counts.groupBy("doc_id", "lang").agg(F.array_sort(F.collect_list(F.struct("idx", "val"))).alias("c"))
-    filled = cells.select("doc_id", F.transform("c", lambda s: s["idx"]).alias("indices"),
-                          F.transform("c", lambda s: s["val"]).alias("values"))
-    empty_i, empty_v = F.array().cast("array<int>"), F.array().cast("array<double>")
-    return d.select("doc_id", "lang").join(filled, "doc_id", "left").select(
-        "doc_id", "lang", F.coalesce("indices", empty_i).alias("indices"), F.coalesce("values", empty_v).alias("values")
-    )
+    ones = F.array_sort(F.transform(letters, lambda c: F.struct(c.alias("idx"), F.lit(1.0).alias("val"))))
+    # counted inside the row: nothing is shuffled
+    cells = d.select("doc_id", "lang", ones.alias("sorted")).withColumn("c", add_duplicates(F.col("sorted")))
+    return cells.select("doc_id", "lang", F.transform("c", lambda s: s["idx"]).alias("indices"), F.transform("c", lambda s: s["val"]).alias("values"))
 
 
 TERMS = """

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tablewright.catalog.common import KEYS, LI, Registry, lineitem, table, with_gaps
+from tablewright.catalog.common import LI, Registry, lineitem, table, with_gaps
 from tablewright.functions.bands import percent_text, treatment_label
 from tablewright.functions.labels import ambiguous_one_hot, first_argmax, sums_to_one, truncated_label
-from tablewright.functions.roles import assign_roles, role_of
+from tablewright.functions.roles import Roles, assign_roles, role_of
+from tablewright.operators.design import TEST, dense_encoding, dense_rows
 from tablewright.operators.prepare import fit_preparation
 from tablewright.operators.profile import display_profile, valid_targets
+from tablewright.operators.scoring import ARGMAX, LinearScorer, predict_rows
+from tablewright.plans.predictor import no_rows, side_counts
+from tablewright.sources.target import flat_target
 
 reg = Registry()
 
@@ -36,9 +41,7 @@ def multi_column_label(spark, sf):
 
 @reg("b03_flatten_target", "select o_orderkey, o_totalprice as y from orders")
 def flatten_target(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", F.array("o_totalprice").alias("a")).select(
-        "o_orderkey", F.get("a", F.lit(0)).alias("y")
-    )
+    return flat_target(table(spark, sf, "orders").select("o_orderkey", F.array("o_totalprice").alias("y")))
 
 
 @reg("b04_target_cast", """
@@ -91,7 +94,7 @@ def valid(spark, sf):
 select event_type, count(*) filter (value > 1e12) = 0 as empty_side, count(*) = 0 as empty_all from events group by 1""")
 def empty_input(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(
-        (F.count_if(F.col("value") > 1e12) == 0).alias("empty_side"), (F.count("*") == 0).alias("empty_all")
+        no_rows(F.col("value") > 1e12).alias("empty_side"), no_rows().alias("empty_all")
     )
 
 
@@ -100,13 +103,7 @@ select count(*) filter (l.doc_id is null) as only_features, count(*) filter (d.d
   count(*) filter (l.doc_id is not null and d.doc_id is not null) as both_sides
 from documents d full outer join labels l on d.doc_id = l.doc_id""")
 def row_mismatch(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.lit(1).alias("d"))
-    y = table(spark, sf, "labels").select("doc_id", F.lit(1).alias("l"))
-    return d.join(y, "doc_id", "full").agg(
-        F.count_if(F.col("l").isNull()).alias("only_features"),
-        F.count_if(F.col("d").isNull()).alias("only_target"),
-        F.count_if(F.col("l").isNotNull() & F.col("d").isNotNull()).alias("both_sides"),
-    )
+    return side_counts(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 
 
 @reg("b10_treatment_label", """
@@ -146,8 +143,14 @@ def percent_format(spark, sf):
 select l_returnflag as y, case when l_quantity < 17 then 'A' when l_quantity < 34 then 'N' else 'R' end as p, count(*) as n
 from li group by 1, 2""")
 def prediction_truth(spark, sf):
-    p = F.when(F.col("l_quantity") < 17, "A").when(F.col("l_quantity") < 34, "N").otherwise("R")
-    return lineitem(spark, sf).select(*KEYS, F.col("l_returnflag").alias("y"), p.alias("p")).groupBy("y", "p").agg(F.count("*").alias("n"))
+    """A linear model of known weights: N passes A above 16.5, R passes N above 33.5."""
+    li = lineitem(spark, sf).withColumn("fold", F.lit(TEST)).withColumn("y", F.lit(0.0))
+    enc = dense_encoding(li, Roles(("l_quantity",)))
+    per_unit = np.array([0.0, 1.0, 2.0])
+    scorer = LinearScorer(np.stack([np.array([0.0, -16.5, -50.0]) + per_unit * enc.shifts[0], per_unit * enc.scales[0]]), ARGMAX)
+    p = predict_rows(dense_rows(li, enc, "y", "fold", ["l_returnflag"]), enc, scorer, {"l_returnflag": "string"})
+    label = F.get(F.array(F.lit("A"), F.lit("N"), F.lit("R")), F.col("p").cast("int"))
+    return p.groupBy(F.col("l_returnflag").alias("y"), label.alias("p")).agg(F.count("*").alias("n"))
 
 
 QUERIES, SQL = reg.queries, reg.sql

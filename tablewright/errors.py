@@ -19,3 +19,7 @@ class TargetError(ValueError):
 
 class NoModelError(RuntimeError):
     """Every candidate failed."""
+
+
+class ConvergenceError(RuntimeError):
+    """A fit missed its tolerance."""

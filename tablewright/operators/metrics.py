@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tablewright.session import pinned
+from tablewright.session import materialize, pinned
 
 MAX_REPORT_CLASSES = 10
 
@@ -161,7 +161,7 @@ def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     then inside each range, so no task ever sorts all distinct scores.
     Only 0/1 truths with both classes present give a value.
     """
-    groups = score_groups(df, truth, score)
+    groups = materialize(score_groups(df, truth, score), "scores")  # three uses
     located = score_ranges(groups)
     per_range = located.groupBy("b").agg(F.sum("neg").alias("bneg"))
     before = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)

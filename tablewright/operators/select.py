@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.feature import StandardScaler, UnivariateFeatureSelector
+from math import sqrt
+
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, UnivariateFeatureSelector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -59,6 +62,20 @@ def top_features(scores: DataFrame, k: int) -> DataFrame:
 IS_TREE = ("DecisionTree", "RandomForest", "GBT")
 
 
+class PopulationScaler(Estimator):
+    """Scales by the population deviation, as all preparation here does; MLlib's scaler uses the sample's."""
+
+    def __init__(self, column: str, output: str, centre: bool):
+        super().__init__()
+        self.column, self.output, self.centre = column, output, centre
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        n = df.count()
+        scaler = StandardScaler(inputCol=self.column, outputCol="__sample", withMean=self.centre, withStd=True).fit(df)
+        factor = sqrt(n / (n - 1)) if n > 1 else 1.0
+        return PipelineModel([scaler, ElementwiseProduct(scalingVec=Vectors.dense([factor] * scaler.std.size), inputCol="__sample", outputCol=self.output)])
+
+
 def large_data_chain(estimator: Estimator, n_features: int, task: str, sparse: bool = False,
                      max_features: int = 1000, features: str = "features", label: str = "label") -> Pipeline:
     """[scale] + [keep the best ``max_features``] + estimator, for any MLlib estimator.
@@ -67,7 +84,7 @@ def large_data_chain(estimator: Estimator, n_features: int, task: str, sparse: b
     """
     stages, at = [], features
     if not type(estimator).__name__.startswith(IS_TREE):
-        stages.append(StandardScaler(inputCol=at, outputCol="__scaled", withMean=not sparse, withStd=True))
+        stages.append(PopulationScaler(at, "__scaled", centre=not sparse))
         at = "__scaled"
     if n_features > max_features:
         chooser = UnivariateFeatureSelector(

@@ -68,10 +68,13 @@ class TreeModel:
 
 
 def fit_tree(model: str, p: dict[str, Any], df: DataFrame, task: str, n_classes: int = 0,
-             validation: str | None = None) -> TreeModel:
-    """``df`` has ``features`` and ``y`` (class index or value); ``validation`` marks early-stopping rows."""
+             validation: str | None = None, bins: int = 32) -> TreeModel:
+    """``df`` has ``features`` and ``y`` (class index or value); ``validation`` marks early-stopping rows.
+
+    ``bins``: cut points per feature; with as many as distinct values every split is open.
+    """
     classify = task == "classification"
-    common = dict(featuresCol="features", labelCol="y", seed=SEED)
+    common = dict(featuresCol="features", labelCol="y", seed=SEED, maxBins=bins)
     if model == "DecisionTree":
         impurity = {"gini": "gini", "entropy": "entropy"}.get(p.get("criterion", "gini"), "gini")
         args = dict(common, maxDepth=_depth(p), minInstancesPerNode=int(p.get("min_samples_leaf", 1)))

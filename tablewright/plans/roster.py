@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 from itertools import product
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.functions.bands import fold_count, time_budget_seconds
+from tablewright.functions.bands import BUDGET_BEYOND, BUDGET_TIERS, FOLD_TIERS, FOLDS_BEYOND, fold_count, time_budget_seconds
 
 Grid = dict[str, list[Any]]
 CLS, REG = "classification", "regression"
@@ -88,21 +87,17 @@ SGD_REGRESSOR = dict(
 RIDGE_SOLVERS = ["auto", "svd", "cholesky", "lsqr", "sparse_cg"]
 
 
-def _logistic_big(s: Shape) -> Grid:
-    if s.sparse:
-        solver = "saga"
-    elif s.d > s.n:
-        solver = "liblinear"
-    elif s.n > 10_000:
-        solver = "saga"
-    else:
-        solver = "lbfgs"
-    if solver == "liblinear":
-        return dict(C=[0.1, 1, 10], penalty=["l2"], solver=[solver])
-    if solver == "saga":
-        ratios = [0, 0.5, 1] if s.d > 1000 else [0.5]
-        return dict(C=[0.1, 1, 10], penalty=["l2", "elasticnet"], l1_ratio=ratios, solver=[solver])
-    return dict(C=[0.1, 1, 10], solver=[solver])
+# The solvers of logistic regression on big data, each with its shapes and grid. The first that holds counts.
+LOGISTIC_BIG = (
+    (lambda s: _dense(s) & (s.d > s.n), dict(C=[0.1, 1, 10], penalty=["l2"], solver=["liblinear"])),
+    (lambda s: _dense(s) & (s.n <= 10_000), dict(C=[0.1, 1, 10], solver=["lbfgs"])),
+    (lambda s: s.d > 1000, dict(C=[0.1, 1, 10], penalty=["l2", "elasticnet"], l1_ratio=[0, 0.5, 1], solver=["saga"])),
+    (_always, dict(C=[0.1, 1, 10], penalty=["l2", "elasticnet"], l1_ratio=[0.5], solver=["saga"])),
+)
+
+
+def _first_of(rows: tuple) -> Callable[[Shape], Grid]:
+    return lambda s: dict(next(grid for holds, grid in rows if holds(s)))
 
 
 def _forest_classes(s: Shape) -> Grid:
@@ -128,7 +123,7 @@ RULES: tuple[Rule, ...] = (
     Rule(CLS, True, "LinearSVC", _always, _fixed(C=[0.1, 1, 10], penalty=["l2"], loss=["squared_hinge"])),
     Rule(CLS, True, "RidgeClassifier", _always, _fixed(alpha=[0.1, 1, 10, 100], solver=RIDGE_SOLVERS)),
     Rule(CLS, True, "SGDClassifier", lambda s: (s.n > 5000) | (s.d > 5000), _fixed(**SGD_CLASSIFIER)),
-    Rule(CLS, True, "LogisticRegression", lambda s: s.d <= 5000, _logistic_big),
+    Rule(CLS, True, "LogisticRegression", lambda s: s.d <= 5000, _first_of(LOGISTIC_BIG)),
     Rule(CLS, True, "LDA", lambda s: (s.d > 1000) & _dense(s) & (s.n < 100_000),
          _fixed(shrinkage=[None, "auto", 0.5, 0.9], solver=["lsqr", "eigen"])),
     Rule(CLS, True, "MultinomialNB", _sparse, _fixed(alpha=[0.1, 0.5, 1.0], fit_prior=[True, False])),
@@ -258,18 +253,22 @@ def distinct_points(c: Candidate) -> list[dict[str, Any]]:
     return out
 
 
+MAX_VALUES = 1000  # of a parameter
+
+
 def expand_grid(tables: list[DataFrame]) -> DataFrame:
-    """Cartesian product of small parameter tables (each a handful of literal values)."""
-    arrays = [t.agg(F.array_sort(F.collect_list(t.columns[0])).alias(t.columns[0])) for t in tables]
-    one = [a.withColumn("k", F.lit(1)) for a in arrays]
-    joined = reduce(lambda a, b: a.join(b, "k"), one)
-    for a in arrays:
-        joined = joined.withColumn(a.columns[0], F.explode(a.columns[0]))
-    return joined.drop("k")
+    """Cartesian product of parameter tables of one column; more values than a grid can hold are an error."""
+    out = tables[0].sparkSession.range(1)
+    for t in tables:
+        values = [r[0] for r in t.distinct().limit(MAX_VALUES + 1).collect()]
+        if len(values) > MAX_VALUES:
+            raise ValueError(f"{t.columns[0]} has more than {MAX_VALUES} values")
+        out = out.select("*", F.explode(F.array(*[F.lit(v) for v in sorted(values)])).alias(t.columns[0]))
+    return out.drop("id")
 
 
 def cv_folds(n: int) -> int:
-    return next((k for limit, k in ((20, 2), (50, 3), (100, 4), (1000, 5)) if n < limit), 3)
+    return next((k for limit, k in FOLD_TIERS if n < limit), FOLDS_BEYOND)
 
 
 def scoring(task: str) -> str:
@@ -280,7 +279,7 @@ def scoring(task: str) -> str:
 
 
 def time_budget(n: int, d: int) -> int:
-    return next((t for limit, t in ((1e4, 60), (1e5, 120), (1e6, 180), (1e7, 300)) if n * d < limit), 600)
+    return next((t for limit, t in BUDGET_TIERS if n * d < limit), BUDGET_BEYOND)
 
 
 # Preferred models per task and shape, best first.

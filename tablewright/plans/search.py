@@ -16,13 +16,15 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.errors import NoModelError
 from tablewright.functions.roles import Roles
 from tablewright.operators import closed, neighbors
 from tablewright.operators.design import (
+    MAX_GRAM,
     TEST,
     SparseEncoding,
     dense_encoding,
@@ -35,10 +37,12 @@ from tablewright.operators.moments import Moments, feature_maps, fold_moments, f
 from tablewright.operators.scoring import evaluate_scorers, predict_rows
 from tablewright.operators.trees import TreeModel, fit_tree, sparse_vectors
 from tablewright.plans.roster import CLS, Candidate, distinct_points
-from tablewright.session import spread
+from tablewright.session import map_arrow, spread
 
 CLOSED = ("RidgeClassifier", "LDA", "GaussianNB", "MultinomialNB", "Ridge", "Lasso", "ElasticNet")
+QUADRATIC = ("RidgeClassifier", "Ridge", "Lasso", "ElasticNet")  # wide tables: the same optimum by passes
 ITERATIVE = ("LinearSVC", "SGDClassifier", "LogisticRegression", "LinearSVR", "SGDRegressor")
+MAX_BINS = 256
 TREES = ("DecisionTree", "RandomForest", "ExtraTrees", "GradientBoosting")
 
 
@@ -90,10 +94,15 @@ class TrainingTable:
         self.moments: Moments | None = None
         self.maps: list = []
         self._vectors: dict[int, DataFrame] = {}
+        self._bins: int | None = None
+
+    @property
+    def wide(self) -> bool:
+        """Too many columns for matrices of columns x columns on the driver: the fits run on passes instead."""
+        return self.enc.width > MAX_GRAM
 
     def learn(self, gram: bool, class_gram: bool) -> None:
-        gram = gram and self.enc.width <= 4096
-        self.moments = fold_moments(self.rows, self.enc, self.k, self.n_classes, gram, class_gram)
+        self.moments = fold_moments(self.rows, self.enc, self.k, self.n_classes, gram and not self.wide, class_gram and not self.wide)
         self.maps = feature_maps(self.enc, self.moments, self.rows)
 
     def vectors(self, t: int) -> DataFrame:
@@ -101,7 +110,30 @@ class TrainingTable:
         keep = [*self.keep, "fold", "y"]
         if self.sparse:
             return sparse_vectors(self.df, self.enc.n_features, keep, self.maps[t].scale)
-        return self.preparation(t).vectors(self.df, keep)
+        # from the cached encoded rows: the files are not parsed again
+        enc, matrix = self.enc, self.maps[t].matrix.T
+        kinds = dict(self.rows.dtypes)
+
+        def prepare(it):
+            for rb in it:
+                if rb.num_rows:
+                    x = enc.batch(rb).times(matrix)
+                    at = pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays([*(rb.column(c) for c in keep), pa.ListArray.from_arrays(at, pa.array(x.ravel()))], [*keep, "x"])
+
+        schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "x array<double>"])
+        return map_arrow(self.rows, prepare, schema).select(*keep, array_to_vector("x").alias("features"))
+
+    def bins(self) -> int:
+        """Bins for trees: as many as the most distinct values of a number, within 32 and ``MAX_BINS``."""
+        if self.sparse or self.enc.width > 1000:
+            return 32
+        if self._bins is None:
+            numbers = list(self.enc.roles.numerical) + list(self.enc.roles.other)
+            found = self.df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"n{i}") for i, c in enumerate(numbers)]).first() if numbers else ()
+            # a count is off by some percent
+            self._bins = int(min(MAX_BINS, max([32, *(1.1 * n + 2 for n in found)])))
+        return self._bins
 
     def preparation(self, t: int):
         m = self.moments
@@ -210,8 +242,8 @@ def _with_validation(table: TrainingTable, df: DataFrame) -> DataFrame:
 def fit_tree_on(table: TrainingTable, model: str, params: dict[str, Any], t: int) -> TreeModel:
     data = table.train_vectors(t)
     if model == "GradientBoosting":
-        return fit_tree(model, params, _with_validation(table, data), table.task, table.n_classes, "__val")
-    return fit_tree(model, params, data, table.task, table.n_classes)
+        return fit_tree(model, params, _with_validation(table, data), table.task, table.n_classes, "__val", table.bins())
+    return fit_tree(model, params, data, table.task, table.n_classes, bins=table.bins())
 
 
 def _attempt(points: list[Point], work) -> None:
@@ -226,8 +258,33 @@ def _attempt(points: list[Point], work) -> None:
             traceback.print_exc()
 
 
+def by_passes(table: TrainingTable, model: str) -> bool:
+    return model in ITERATIVE or (table.wide and model in QUADRATIC)
+
+
+def _learn(table: TrainingTable, plan: dict[str, list[Point]], every: list[Point]):
+    """The sums that the models need; what only 'auto' shrinkage needs can fail alone."""
+    auto = [p for p in every if p.model == "LDA" and p.params.get("shrinkage") == "auto"]
+    gram = any(p.model in CLOSED or p.model in ITERATIVE for p in every)
+    if table.wide:
+        for p in plan.get("LDA", []):
+            p.error = f"ValueError: discriminant analysis keeps a matrix of columns x columns, and {table.enc.width} columns exceed {MAX_GRAM}"
+        auto = []
+    found = []
+
+    def with_classes(points):
+        table.learn(gram, True)
+        found.append(fourth_moments(table.rows, table.enc, table.moments, table.maps))
+
+    if auto:
+        _attempt(auto, with_classes)
+    if not found:
+        table.learn(gram, False)
+    return found[0] if found else None
+
+
 def search(table: TrainingTable, candidates: list[Candidate], max_points: int | None = None,
-           id_col: str | None = None, max_passes: int = 60) -> list[ModelResult]:
+           id_col: str | None = None, max_passes: int = 1000) -> list[ModelResult]:
     """Best point per candidate, refitted on all training rows, in roster order.
 
     ``max_points`` bounds the searched points per model (evenly spaced over the
@@ -241,30 +298,50 @@ def search(table: TrainingTable, candidates: list[Candidate], max_points: int |
             pts = [pts[i] for i in at]
         plan[c.model] = [Point(c.model, p) for p in pts]
     every = [p for pts in plan.values() for p in pts]
-    auto = any(p.model == "LDA" and p.params.get("shrinkage") == "auto" for p in every)
-    gram = any(p.model in CLOSED or p.model in ITERATIVE for p in every)
-    table.learn(gram, auto)
     k = table.k
-    fourth = fourth_moments(table.rows, table.enc, table.moments, table.maps) if auto else None
+    fourth = _learn(table, plan, every)
 
     scorers: dict[tuple[int, int], Any] = {}
     index = {id(p): i for i, p in enumerate(every)}
     for name in plan:
-        if name in CLOSED:
-            def closed_family(points):
-                made = {(index[id(p)], t): closed_scorer(table, p.model, p.params, t, fourth) for p in points for t in range(k)}
-                scorers.update(made)
-            _attempt(plan[name], closed_family)
-    iterative = [p for p in every if p.model in ITERATIVE]
-    if iterative:
-        def linear_family(points):
+        if name in CLOSED and not (table.wide and name in QUADRATIC):
+            def closed_model(points):
+                p = points[0]
+                scorers.update({(index[id(p)], t): closed_scorer(table, p.model, p.params, t, fourth) for t in range(k)})
+            for p in plan[name]:
+                if p.error is None:
+                    _attempt([p], closed_model)
+    passes = [p for p in every if by_passes(table, p.model) and p.error is None]
+    if passes:
+        def linear_models(points):
+            missed: set[tuple[int, int]] = set()
             made = fit_linear(table.rows, table.enc, table.moments, table.maps,
-                              [(p.model, p.params) for p in points], list(range(k)), max_passes)
-            scorers.update({(index[id(points[i])], t): s for (i, t), s in made.items()})
-        _attempt(iterative, linear_family)
+                              [(p.model, p.params) for p in points], list(range(k)), max_passes, unconverged=missed)
+            lost = {i for i, _ in missed}
+            for i in lost:
+                points[i].error = f"ConvergenceError: not at its tolerance after {max_passes} passes"
+            scorers.update({(index[id(points[i])], t): s for (i, t), s in made.items() if i not in lost})
+        _attempt(passes, linear_models)
+        if all(p.error for p in passes) and len({p.model for p in passes}) > 1:
+            # one model's points may have ended the shared passes: each model on its own
+            for name in dict.fromkeys(p.model for p in passes):
+                own = [p for p in passes if p.model == name and not p.error.startswith("ConvergenceError")]
+                for p in own:
+                    p.error = None
+                _attempt(own, linear_models)
     if scorers:
-        for (i, t), s in evaluate_scorers(table.rows, table.enc, scorers, table.task).items():
-            every[i].scores[t] = s
+        def score(points):
+            own = {key: s for key, s in scorers.items() if every[key[0]] in points}
+            for (i, t), s in evaluate_scorers(table.rows, table.enc, own, table.task).items():
+                every[i].scores[t] = s
+        scored = [every[i] for i in sorted({i for i, _ in scorers})]
+        _attempt(scored, score)
+        if all(p.error for p in scored):
+            for name in dict.fromkeys(p.model for p in scored):
+                own = [p for p in scored if p.model == name]
+                for p in own:
+                    p.error = None
+                _attempt(own, score)
     if "KNN" in plan:
         _attempt(plan["KNN"], lambda points: search_neighbours(table, points, id_col or list(table.keep)[0]))
     tree_points = [p for p in every if p.model in TREES]
@@ -289,12 +366,15 @@ def _best_point(points: list[Point], k: int) -> Point | None:
 def _refit(table, candidates, plan, fourth, id_col, max_passes) -> list[ModelResult]:
     k, out = table.k, []
     best = {c.model: _best_point(plan[c.model], k) for c in candidates}
-    linear = [b for b in best.values() if b is not None and b.model in ITERATIVE]
+    linear = [b for b in best.values() if b is not None and by_passes(table, b.model)]
     fitted: dict[str, Any] = {}
+
+    def refit(points):
+        made = fit_linear(table.rows, table.enc, table.moments, table.maps, [(p.model, p.params) for p in points], [k], max_passes, unconverged=set())
+        fitted.update({points[i].model: s for (i, _), s in made.items()})
+
     if linear:
-        made = fit_linear(table.rows, table.enc, table.moments, table.maps,
-                          [(p.model, p.params) for p in linear], [k], max_passes)
-        fitted.update({linear[i].model: s for (i, _), s in made.items()})
+        _attempt(linear, refit)
     for order, c in enumerate(candidates):
         b = best[c.model]
         if b is None:
@@ -302,6 +382,11 @@ def _refit(table, candidates, plan, fourth, id_col, max_passes) -> list[ModelRes
             out.append(ModelResult(c.model, order, {}, float("-inf"), None, errors[0] if errors else "no valid score"))
             continue
         result = ModelResult(c.model, order, b.params, b.mean(k), fitted.get(c.model))
+        if by_passes(table, c.model):
+            if result.fitted is None:
+                result.error, result.cv_score = b.error or "ConvergenceError: the refit missed its tolerance", float("-inf")
+            out.append(result)
+            continue
         try:
             if c.model in CLOSED:
                 result.fitted = closed_scorer(table, c.model, b.params, k, fourth)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import uuid
 import zipfile
@@ -31,17 +32,22 @@ def local_session(cores: int | str = "*", app: str = "tablewright") -> SparkSess
     )
 
 
+_local_scratch: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, laptops) a local folder is made.
+    Only a local session that names none (tests, laptops) gets a folder of this
+    machine; on a cluster its executors could not see it, so that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named is None:
-        named = tempfile.mkdtemp(prefix="tablewright-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _local_scratch:
+            _local_scratch.append(tempfile.mkdtemp(prefix="tablewright-"))
+        named = _local_scratch[0]
     return named.rstrip("/")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Delimiters in the order they are tried.
@@ -11,12 +13,13 @@ DELIMITERS = (",", "\t", ";", " ")
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
     """First delimiter that gives more than one column; otherwise the last one.
 
-    The first line fixes a header-less file's width, so one line decides.
+    The first line fixes a header-less file's width, so it decides; it is parsed,
+    so a delimiter inside quotes does not count.
     """
     first = spark.read.text(path).where(F.trim("value") != "").first()
     if first is None:
         return DELIMITERS[-1]
-    return next((d for d in DELIMITERS if d in first[0]), DELIMITERS[-1])
+    return next((d for d in DELIMITERS if len(next(csv.reader([first[0]], delimiter=d))) > 1), DELIMITERS[-1])
 
 
 def read_delimited(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:

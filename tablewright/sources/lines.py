@@ -21,12 +21,18 @@ def text_lines(spark: SparkSession, path: str, skip_blank: bool = True) -> DataF
     return raw.where(F.col("value") != "") if skip_blank else raw
 
 
+def numbered(name: str) -> Column:
+    """A file name that sorts by the numbers in it: every run of digits padded to twenty."""
+    padded = F.regexp_replace(name, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"\d*(\d{20})(?!\d)", "$1")
+
+
 def indexed_lines(spark: SparkSession, path: str, skip_blank: bool = True) -> DataFrame:
-    """``row_id BIGINT, value STRING`` in file order (file name, then offset)."""
+    """``row_id BIGINT, value STRING`` in file order (numbers in the file name, then the name, then the offset)."""
     here = text_lines(spark, path, skip_blank).withColumn("seq", F.monotonically_increasing_id())
     per_split = here.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
     # one row per file split, never one per data row
-    before = W.orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)
+    before = W.orderBy(numbered("file"), "file", "block").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_split.select(
         "file",
         "block",

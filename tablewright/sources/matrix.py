@@ -52,26 +52,24 @@ def sparse_pairs(value: Column) -> Column:
 
 
 def add_duplicates(pairs: Column) -> Column:
-    """Sum the values of equal indices inside one row, without a shuffle."""
-    idx = F.transform(pairs, lambda p: p["idx"])
-    distinct = F.array_sort(F.array_distinct(idx))
-    summed = F.transform(
-        distinct,
-        lambda i: F.struct(
-            i.alias("idx"),
-            F.aggregate(
-                F.filter(pairs, lambda p: p["idx"] == i), F.lit(0.0), lambda acc, p: acc + p["val"]
-            ).alias("val"),
+    """Sum the values of equal indices of pairs sorted by index: one walk over the runs."""
+    at = F.sequence(F.lit(1), F.size(pairs))
+    new = F.filter(at, lambda i: (i == 1) | (F.element_at(pairs, i)["idx"] != F.get(pairs, i - 2)["idx"]))
+    begins = F.when(F.size(pairs) > 0, new).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        F.arrays_zip(begins.alias("a"), F.concat(F.slice(begins, 2, F.size(pairs) + 1), F.array(F.size(pairs) + 1)).alias("b")),
+        lambda r: F.struct(
+            F.element_at(pairs, r["a"])["idx"].alias("idx"),
+            F.aggregate(F.slice(pairs, r["a"], r["b"] - r["a"]), F.lit(0.0), lambda acc, p: acc + p["val"]).alias("val"),
         ),
     )
-    return F.when(F.size(distinct) == F.size(pairs), F.array_sort(pairs)).otherwise(summed)
 
 
 def parse_sparse(lines: DataFrame) -> DataFrame:
     """``row_id, indices ARRAY<INT>, values ARRAY<DOUBLE>, dropped_tokens`` from ``row_id, value``."""
     p = lines.select(
         "row_id",
-        add_duplicates(sparse_pairs(F.col("value"))).alias("p"),
+        F.array_sort(sparse_pairs(F.col("value"))).alias("sorted"),
         F.when(
             F.col("value").contains(":"),
             F.size(F.filter(tokens(F.col("value")), lambda t: ~t.contains(":"))),
@@ -79,6 +77,8 @@ def parse_sparse(lines: DataFrame) -> DataFrame:
         .otherwise(0)
         .alias("dropped_tokens"),
     )
+    repeats = F.size(F.array_distinct(F.transform("sorted", lambda s: s["idx"]))) < F.size("sorted")
+    p = p.withColumn("p", F.when(repeats, add_duplicates(F.col("sorted"))).otherwise(F.col("sorted")))
     return p.select(
         "row_id",
         F.transform("p", lambda s: s["idx"]).alias("indices"),

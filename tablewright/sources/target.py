@@ -30,6 +30,11 @@ def parse_target(lines: DataFrame) -> DataFrame:
     return lines.select("row_id", F.transform(tokens(F.col("value")), parse_number).alias("y"))
 
 
+def flat_target(rows: DataFrame, y: str = "y") -> DataFrame:
+    """The first value of a one-column target in place of its array."""
+    return rows.withColumn(y, F.get(y, F.lit(0)))
+
+
 def read_target(spark: SparkSession, path: str) -> Target:
     """One column gives a flat target. Several columns whose rows all sum to one
     give the position of the first maximum; anything else stays an array."""
@@ -52,7 +57,7 @@ def read_target(spark: SparkSession, path: str) -> Target:
     rows = parse_target(indexed_lines(spark, path))
     one_hot = seen["w"] > 1 and seen["ones"]
     if seen["w"] == 1:
-        rows = rows.select("row_id", F.get("y", F.lit(0)).alias("y"))
+        rows = flat_target(rows)
     elif one_hot:
         rows = rows.select("row_id", first_argmax(F.col("y")).cast("double").alias("y"))
     return Target(rows, seen["w"], one_hot, bool(seen["ints"]) or one_hot)

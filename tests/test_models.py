@@ -339,3 +339,72 @@ def test_sparse_models(spark):
     w = s.weights[:, 0].copy()
     w[1:] *= np.where(top > 0, top, 1)
     assert value(o, z[train], y[train], sign[train], w) <= best + 1e-3
+
+
+def wide_rows(spark, n=3000, d=5000, seed=4):
+    rng = np.random.default_rng(seed)
+    idx = [np.sort(rng.choice(d, 20, replace=False)) for _ in range(n)]
+    w = rng.normal(size=d)
+    data = []
+    for i, ix in enumerate(idx):
+        val = rng.integers(1, 4, 20).astype(float)
+        data.append((i, i % 3, float(val @ w[ix] + rng.normal() > 0), ix.tolist(), val.tolist()))
+    return spark.createDataFrame(data, "id long, fold int, y double, indices array<int>, values array<double>").repartition(4), d
+
+
+def test_wide_sparse_fit_reaches_the_optimum(spark):
+    from tablewright.plans.search import TrainingTable
+
+    df, d = wide_rows(spark)
+    t = TrainingTable(df, "classification", 2, 3, None, d, {"id": "bigint"})
+    t.learn(True, False)
+    assert t.wide and t.moments.gram is None
+    points = [("LinearSVC", {"C": 1.0})]
+    o = objective("LinearSVC", points[0][1], t.moments.n(1))
+    values = []
+    for tol in (1e-4, 1e-8):
+        s = fit_linear(t.rows, t.enc, t.moments, t.maps, points, subsets=[1], tol=tol)[(0, 1)]
+        total = 0.0
+        w = s.weights[:, 0]
+        for r in df.where("fold <> 1").collect():
+            z = (1 if r.y else -1) * (w[0] + sum(w[1 + i] * v for i, v in zip(r.indices, r["values"])))
+            total += max(1 - z, 0) ** 2
+        scaled = np.append(w[:1], w[1:] / t.maps[1].scale)
+        values.append(total / t.moments.n(1) + o.l2 / 2 * (scaled**2).sum())
+    t.close()
+    assert values[0] <= values[1] * (1 + 1e-4)
+
+
+def test_too_few_passes_mark_the_point(spark):
+    from tablewright.plans.roster import Candidate
+    from tablewright.plans.search import TrainingTable, search
+
+    df, d = wide_rows(spark, 300, 400)
+    t = TrainingTable(df, "classification", 2, 3, None, d, {"id": "bigint"})
+    got = {r.model: r for r in search(t, [Candidate("LinearSVC", {"C": [1.0]}), Candidate("MultinomialNB", {"alpha": [1.0]})], max_passes=2)}
+    t.close()
+    assert not got["LinearSVC"].ok and got["LinearSVC"].error.startswith("ConvergenceError") and got["MultinomialNB"].ok
+
+
+def test_wide_models_equal_those_of_the_gram_matrix(spark, monkeypatch):
+    from tablewright.plans import search as plan
+    from tablewright.plans.roster import Candidate
+
+    pdf = raw_frame()
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "id long, a double, b double, c string, const double, fold int, y double, cls3 double, cls2 double")
+    roles = Roles(("a", "b", "const"), ("c",))
+    values = [Candidate("Ridge", {"alpha": [0.1, 10.0]}), Candidate("Lasso", {"alpha": [0.01]}), Candidate("ElasticNet", {"alpha": [0.1], "l1_ratio": [0.5]})]
+    for rows, task, k, models in ((df.drop("cls2", "cls3"), "regression", 0, values),
+                                  (df.drop("y", "cls2").withColumnRenamed("cls3", "y"), "classification", 3, [Candidate("RidgeClassifier", {"alpha": [1.0]}), Candidate("LDA", {"solver": ["lsqr"], "shrinkage": ["auto"]})])):
+        scores = []
+        for limit in (4096, 3):
+            monkeypatch.setattr(plan, "MAX_GRAM", limit)
+            t = plan.TrainingTable(rows, task, k, K, roles, None, {"id": "bigint"})
+            scores.append({r.model: (r.cv_score, r.error) for r in plan.search(t, models)})
+            t.close()
+        for model, (score, error) in scores[0].items():
+            assert error is None
+            if model == "LDA":
+                assert "discriminant analysis" in scores[1][model][1]
+            else:
+                assert scores[1][model][0] == pytest.approx(score, rel=2e-3), model
