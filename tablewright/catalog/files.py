@@ -9,6 +9,7 @@ from tablewright.catalog.common import Registry, lineitem, table
 from tablewright.functions.missing import parse_number
 from tablewright.operators.profile import dataset_profile, rounded_profile
 from tablewright.plans.predictor import load_dataset
+from tablewright.plans.profiler import profile_files
 from tablewright.session import scratch_path
 from tablewright.sources.delimited import last_column_target, read_delimited, read_libsvm, sniff_delimiter
 from tablewright.sources.discovery import complete_datasets, discover
@@ -240,6 +241,28 @@ def plain_matrix(spark, sf):
     )
 
 
+@reg("a15_file_profile", """
+with o as (select o_orderkey % 4 as a, o_custkey % 6 as b, o_orderkey % 5 as q, o_custkey % 7 as r, o_orderkey % 2 as y, o_custkey % 3 as label from orders),
+c as (select 'sparse' as dataset, label as y from o union all select 'comma', y from o union all select 'semicolon', label from o),
+k as (select dataset, count(*) as n_classes, case when count(*) > 1 then 1 - min(n)::double / max(n) else 0 end as imbalance
+  from (select dataset, y, count(*) as n from c group by 1, 2) group by 1),
+s as (select 'sparse' as dataset, count(*) as n_samples, 3::bigint as n_features, 1 - (sum((q <> 0)::int) + sum((r <> 0)::int))::double / (3 * count(*)) as sp from o
+  union all select 'comma', count(*), 2, (sum((a = 0)::int) + sum((b = 0)::int))::double / (2 * count(*)) from o
+  union all select 'semicolon', count(*), 2, (sum((a = 0)::int) + sum((b = 0)::int))::double / (2 * count(*)) from o)
+select dataset, n_samples, n_features, round(sp * 100, 2) as sparsity_pct, 0.0::double as missing_pct, n_classes, round(imbalance, 4)::double as imbalance
+from s join k using (dataset)""")
+def file_profile(spark, sf):
+    o = table(spark, sf, "orders")
+    root = scratch_path(spark, "profiled")
+    v = lambda c, n: (F.col(c) % n).cast("string")
+    pairs = F.concat(v("o_custkey", 3), F.lit(" 1:"), v("o_orderkey", 5), F.lit(" 3:"), v("o_custkey", 7))
+    features = [v("o_orderkey", 4), v("o_custkey", 6)]
+    for name, line in (("sparse.data", pairs), ("comma.data", F.concat_ws(",", *features, v("o_orderkey", 2))),
+                       ("semicolon.data", F.concat_ws(";", *features)), ("semicolon.solution", v("o_custkey", 3))):
+        write_lines(o, line, ["o_orderkey"], f"{root}/{name}")
+    return profile_files(spark, {f"{root}/sparse.data": None, f"{root}/comma.data": None, f"{root}/semicolon.data": f"{root}/semicolon.solution"})
+
+
 @reg("c01_positional_join", f"""with {DENSE_SQL}
 select row_id, f0, f1, f2, f3, case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end::double as y from d""")
 def positional_join(spark, sf):

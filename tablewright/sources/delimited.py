@@ -39,6 +39,15 @@ def last_column_target(df: DataFrame, features: str = "x", target: str = "y") ->
     return df.select(F.array(*[F.col(c).cast("double") for c in xs]).alias(features), F.col(y).alias(target))
 
 
+def is_labelled_sparse(spark: SparkSession, path: str) -> bool:
+    """Whether every line is a number and ``idx:val`` pairs, with a pair somewhere."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    number = r"[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?"
+    fits = F.trim("value").rlike(rf"^{number}(\s+\d+:{number})*$")
+    found = lines.agg(F.bool_and(fits).alias("all"), F.bool_or(F.col("value").contains(":")).alias("pairs")).first()
+    return bool(found["all"] and found["pairs"])
+
+
 def read_libsvm(spark: SparkSession, path: str, n_features: int | None = None) -> DataFrame:
     """``label DOUBLE, features VECTOR``; the width is found by a pass when not given."""
     reader = spark.read.format("libsvm")
