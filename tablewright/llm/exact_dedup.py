@@ -47,6 +47,7 @@ def digests(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash,
         found = rows(own.join(materialize(apart, "clashes"), ["content_hash", "text"], "left"), F.coalesce(F.col("v"), F.lit(0)))
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "uid")
     groups = found.groupBy("content_hash", "variant").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
+    groups = materialize(groups, "groups")  # else the join shares the aggregate's partitions, and a large group can't be split
     joined = found.join(groups, ["content_hash", "variant"], "left")
     return joined.select(
         "doc_id",
