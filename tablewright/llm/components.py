@@ -19,11 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        # minima are written: a join that shares the aggregate's partitions couldn't split a node with many links
+        low = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "low")
         large = both.join(low, both["a"] == low["n"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # a node without larger neighbours keeps its links to smaller ones through their own rounds
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+        large = materialize(large.where("a <> b").distinct(), "large")
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m"), "least")
         small = large.join(least, large["a"] == least["n"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(small.unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct(), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -311,7 +311,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = rows.where("n_words = 0").select("uid", "doc_id", "text_key", F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.col("uid").alias("label"))
     labelled = materialize(rows.where("n_words > 0").join(linked, ["w1", "w2"]).select("uid", "doc_id", "text_key", "n_copies", "n_links", "label").unionByName(own), "labelled")
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "uid")
-    classes = labelled.groupBy("label").agg(F.min(order).alias("first"))
+    # written, so that the join doesn't share the aggregate's partitions and a large class can be split
+    classes = materialize(labelled.groupBy("label").agg(F.min(order).alias("first")), "classes")
     return labelled.join(classes, "label").select(
         "doc_id", F.col("first.doc_id").alias("class_id"), "n_links", "n_copies", (F.col("uid") == F.col("first.uid")).alias("kept"), "text_key")
 
