@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tablewright.catalog.common import LI, Registry, lineitem, table, with_gaps
-from tablewright.operators.inference import infer_task_table
+from tablewright.operators.inference import infer_task_tables
 from tablewright.operators.profile import (
     class_balance,
     class_counts,
@@ -141,12 +141,7 @@ def _task_sql(rule: str) -> str:
 
 def _tasks(rule):
     def run(spark, sf):
-        li = _gaps(spark, sf)
-        parts = [
-            infer_task_table(li, y, rule, integer).select(F.lit(y).alias("target"), "n_distinct", "task")
-            for y, integer in TARGETS
-        ]
-        return reduce(lambda a, b: a.unionByName(b), parts)
+        return infer_task_tables(_gaps(spark, sf), dict(TARGETS), rule).select("target", "n_distinct", "task")
 
     return run
 

@@ -16,21 +16,36 @@ CLASSIFICATION, REGRESSION = "classification", "regression"
 SURELY_MANY = 5_000
 
 
-def target_statistics(df: DataFrame, y: str, exact: bool = True) -> DataFrame:
-    """One row: n, n_missing, n_distinct (missing values excluded), all_integral, lowest, highest.
+def _number(y: str) -> Column:
+    return F.when(~missing_number(F.col(y).cast("double")), F.col(y).cast("double"))
 
-    ``exact=False`` estimates the distinct count, in a single pass without a shuffle by value.
-    """
-    v = F.when(~missing_number(F.col(y).cast("double")), F.col(y).cast("double"))
+
+def _statistics(exact: bool) -> list[Column]:
+    """Aggregates over a column ``v``, null where missing."""
     count = F.count_distinct(F.col("v")) if exact else F.approx_count_distinct(F.col("v"))
-    return df.select(v.alias("v")).agg(
+    return [
         F.count("*").alias("n"),
         (F.count("*") - F.count("v")).alias("n_missing"),
         count.alias("n_distinct"),
         F.coalesce(F.bool_and(is_integral(F.col("v")) | F.col("v").isNull()), F.lit(True)).alias("all_integral"),
         F.min("v").alias("lowest"),
         F.max("v").alias("highest"),
-    )
+    ]
+
+
+def target_statistics(df: DataFrame, y: str, exact: bool = True) -> DataFrame:
+    """One row: n, n_missing, n_distinct (missing values excluded), all_integral, lowest, highest.
+
+    ``exact=False`` estimates the distinct count, in a single pass without a shuffle by value.
+    """
+    return df.select(_number(y).alias("v")).agg(*_statistics(exact))
+
+
+def infer_task_tables(df: DataFrame, targets: dict[str, bool], rule: str = "main") -> DataFrame:
+    """The statistics and the task of several numeric targets (name -> integer typed) from one scan; ``target`` names them."""
+    cells = F.array(*[F.struct(F.lit(y).alias("target"), F.lit(integer).alias("integer"), _number(y).alias("v")) for y, integer in targets.items()])
+    stats = df.select(F.inline(cells)).groupBy("target", "integer").agg(*_statistics(True))
+    return stats.withColumn("task", task_rule(rule, F.col("integer"))).drop("integer")
 
 
 def task_rule(rule: str, integer: Column) -> Column:

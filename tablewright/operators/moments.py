@@ -33,16 +33,17 @@ def tree_sum(partials: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
-FEW_PARTS = 64
+DIRECT_BYTES = 64 << 20
 
 
-def total_of(rows: DataFrame, partials: DataFrame, keys: list[str], value: str) -> dict[tuple, np.ndarray]:
+def total_of(rows: DataFrame, partials: DataFrame, keys: list[str], value: str, doubles: int) -> dict[tuple, np.ndarray]:
     """Sums per key on the driver. The keys number folds x classes at most.
 
-    Up to 64 tasks send their vectors straight back; beyond that the JVM adds
-    them up in two levels first.
+    ``doubles``: numbers that each task sends. While all tasks together send 64 MB
+    at most, their vectors go straight back; beyond that executors add them up in
+    two levels first.
     """
-    if rows.rdd.getNumPartitions() > FEW_PARTS:
+    if rows.rdd.getNumPartitions() * doubles * 8 > DIRECT_BYTES:
         partials = tree_sum(partials, keys, value)
     out: dict[tuple, np.ndarray] = {}
     table = partials.select(*keys, value).toArrow()
@@ -134,7 +135,9 @@ def fold_moments(rows: DataFrame, enc, k: int, n_classes: int = 1, gram: bool =
         np.zeros((k, d, d)) if gram or class_gram else None, np.zeros((k, d)), np.zeros(k),
         np.zeros((k, n_classes, d, d)) if class_gram else None,
     )
-    for (kind, f, c), v in total_of(rows, partials, ["kind", "fold", "cls"], "stats").items():
+    squares_of = d * (d + 1) // 2 * (n_classes if class_gram else 1 if gram else 0)
+    sent = k * (squares_of + d + 1 + 2 * d * n_classes)
+    for (kind, f, c), v in total_of(rows, partials, ["kind", "fold", "cls"], "stats", sent).items():
         if kind == "xy":
             out.xy[f], out.yy[f] = v[:d], v[d]
         elif kind == "class":
@@ -206,7 +209,7 @@ def fourth_moments(rows: DataFrame, enc, m: Moments, maps) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["stats"])
 
     partials = map_arrow(rows.where(F.col("fold") != TEST), accumulate, "stats array<double>")
-    got = total_of(rows, partials.withColumn("k", F.lit(0)), ["k"], "stats")[(0,)]
+    got = total_of(rows, partials.withColumn("k", F.lit(0)), ["k"], "stats", 2 * (k + 1) * n_classes)[(0,)]
     total = got.reshape(k + 1, n_classes, 2)
     shared.unpersist()
     return total[:, :, 0] / np.maximum(total[:, :, 1], 1)
