@@ -37,7 +37,7 @@ def digests(docs: DataFrame, hashed: Callable[[Column], Column] = content_hash,
         return materialize(found.withColumn("uid", F.monotonically_increasing_id()), "digests")
 
     found = rows(own, F.lit(0))
-    several = found.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("content_hash")
+    several = materialize(found.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("content_hash"), "several")
     texts = own.join(several, "content_hash", "left_semi").groupBy("content_hash", "text").agg(F.count(F.lit(1)).alias("n"))
     clashes = texts.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("content_hash")
     if not clashes.isEmpty():
