@@ -39,7 +39,9 @@ DIGITS, LOW, UP, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 
 MOST_ATTEMPTS = 60
 
-MAY_HOLD = re.compile(r"[0-9@=]|" + "|".join(map(re.escape, HONORIFICS)))
+# every alternative of ENTITY holds one of these: an at sign, a digit, a secret's word and sign, an honorific; or quoted or access
+# values, which may go without digits
+MAY_HOLD = re.compile(r"[\d@=]|(?i:password|passwd|pwd|secret|token|api_?key)[ ]?:|A[KS]IA[A-Z]{16}|sk-[A-Za-z]{20}|ghp_[A-Za-z]{36}|[\"'][a-f]{32}|" + "|".join(map(re.escape, HONORIFICS)))
 _NAME = r"[^\W\d_][^\W\d_'’-]*(?:[-’'][^\W\d_]+)?"
 ENTITY = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})"

@@ -330,6 +330,18 @@ def test_surrogates(table, odd_rows):
     assert surrogates.with_surrogates(table([]), b"k").count() == 0
 
 
+def test_the_prefilter_passes_all_entities(monkeypatch):
+    texts = ["my password: correcthorse ok", "Secret : abcdefgh", "API_KEY:abcdefgh", "TOKEN: 'abcdefgh'", "AKIA" + "A" * 16, "sk-" + "a" * 20, "ghp_" + "b" * 36,
+             f"'{'a' * 32}'", "call +٤٤ ٢٠ ٧٩٤٦", "123-45-6789", "a@b.de", "Frau Berg", "password correcthorse", "none here"]
+    rng = random.Random(6)
+    parts = ["password", "PWD", "ApiKey", ": ", ":", "=", "'", "abcdef", "٣", "7", "@", ".", " ", "Mr.", "Smith", "sk-", "a" * 32]
+    texts += ["".join(rng.choice(parts) for _ in range(8)) for _ in range(3000)]
+    with_filter = [surrogates.find(t) for t in texts]
+    monkeypatch.setattr(surrogates, "MAY_HOLD", re.compile(""))
+    assert with_filter == [surrogates.find(t) for t in texts]
+    assert sum(map(bool, with_filter[:12])) == 12
+
+
 def test_clashing_surrogates_are_told_apart(table, monkeypatch):
     real = surrogates.surrogate
 
