@@ -37,7 +37,7 @@ GIVEN = {
 SYLLABLES = {"LATIN": ("bdfghklmnprstv", "aeiou"), "CYRILLIC": ("бвгдзклмнпрст", "аеиоу"), "GREEK": ("βγδκλμνπρστ", "αεηιο")}
 DIGITS, LOW, UP, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdef"
 
-MOST_ATTEMPTS = 60
+WIDER = 4  # attempts in the form of the value; later ones widen it more and more
 
 # every alternative of ENTITY holds one of these: an at sign, a digit, a secret's word and sign, an honorific; or quoted or access
 # values, which may go without digits
@@ -70,7 +70,7 @@ def canonical(kind: str, value: str) -> str:
     if kind == "email":
         return value.lower()
     if kind in ("card", "phone", "ssn"):
-        return re.sub(r"[^0-9+]", "", value)
+        return re.sub(r"[^0-9+]", "", "".join(str(unicodedata.decimal(c, c)) for c in value))
     if kind.startswith(("given", "surname")):
         return value.casefold()
     return value
@@ -118,48 +118,69 @@ class _Stream:
         return some[self.below(len(some))]
 
 
-def _same_shape(value: str, s: _Stream) -> str:
-    """Digits for digits, letters for letters of their case; hexadecimal values stay hexadecimal."""
+def _script(c: str) -> str:
+    return next((x for x in SYLLABLES if unicodedata.name(c, "").startswith(x)), "LATIN")
+
+
+def _same_shape(value: str, s: _Stream, more: int = 0) -> str:
+    """Digits for digits, letters for letters of their script and case; hexadecimal values stay hexadecimal.
+
+    ``more``: characters beyond the form; with any, symbols become letters too.
+    """
     low = HEX if re.fullmatch(r"[0-9a-f]+", value) else LOW
-    return "".join(s.pick(DIGITS) if c in DIGITS else s.pick(low) if c in LOW else s.pick(UP) if c in UP else c for c in value)
+
+    def other(c: str) -> str:
+        if c.isascii() and (c in DIGITS or c in LOW or c in UP):
+            return s.pick(DIGITS) if c in DIGITS else s.pick(low) if c in LOW else s.pick(UP)
+        if c.isdecimal():
+            return s.pick(DIGITS)
+        if c.isalpha():
+            new = s.pick("".join(SYLLABLES[_script(c)]))
+            return new.upper() if c.isupper() else new
+        return s.pick(low) if more else c
+
+    return "".join(map(other, value)) + "".join(s.pick(low) for _ in range(more))
 
 
 def _spread(value: str, digits: str) -> str:
-    """``digits`` in the places of the digits of ``value``."""
+    """``digits`` in the places of the digits of ``value``, those of a wider form after them."""
     rest = iter(digits)
-    return "".join(next(rest) if c.isdigit() else c for c in value)
+    return "".join(next(rest) if c.isdecimal() else c for c in value) + "".join(rest)
 
 
 def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     """The canonical surrogate; ``dressed`` gives it the form of a mention."""
     s = _Stream(key, kind, canon, str(attempt))
+    more = max(0, attempt - WIDER + 1)
     if kind == "email":
         local, _, domain = canon.partition("@")
         labels = domain.split(".")
         # the second level is the one reserved for examples
-        return f"{_same_shape(local, s)}@" + ".".join([*(_same_shape(x, s) for x in labels[:-2]), "example", labels[-1]])
+        return f"{_same_shape(local, s)}{''.join(s.pick(LOW) for _ in range(more))}@" + ".".join([*(_same_shape(x, s) for x in labels[:-2]), "example", labels[-1]])
     if kind == "ip":  # private addresses; the reserved block once those run short
-        return ".".join(str(x) for x in ([10] if attempt < 4 else [240 + s.below(16)]) + [s.below(256) for _ in range(3)])
+        return ".".join(str(x) for x in ([10] if attempt < 4 else [240 + s.below(16)] if attempt < 40 else [s.below(256)]) + [s.below(256) for _ in range(3)])
     if kind == "card":
-        body = canon[0] + "".join(s.pick(DIGITS) for _ in canon[2:])
+        body = canon[0] + "".join(s.pick(DIGITS) for _ in range(len(canon) - 2 + more))
         return body + str((10 - luhn(body + "0")) % 10)
     if kind == "phone":
         # the country and an exchange of fictitious numbers stay
-        head = canon[:-10] if len(canon) > 10 else canon[:0]
+        head = canon[:-10] if len(canon) > 10 else "+" * canon.startswith("+")
         body = canon[len(head) :]
         fixed = 3 if body[3:6] == "555" and attempt < 4 else -1
-        return head + "".join(c if fixed <= i < fixed + 3 and fixed > 0 else s.pick(DIGITS) for i, c in enumerate(body))
+        return head + "".join(c if fixed <= i < fixed + 3 and fixed > 0 else s.pick(DIGITS) for i, c in enumerate(body)) + "".join(s.pick(DIGITS) for _ in range(more))
     if kind == "access":
         head = re.match(r"A[KS]IA|ghp_|sk-", canon)[0]
-        return head + _same_shape(canon[len(head) :], s)
+        return head + _same_shape(canon[len(head) :], s, more)
     if kind.startswith(("given", "surname")):
-        script = next((x for x in SYLLABLES if unicodedata.name(canon[0], "").startswith(x)), "LATIN")
+        script = _script(canon[0])
         names = GIVEN.get((script, kind.partition("-")[2]))
         if kind != "surname" and names and attempt == 0:
             return s.pick(names)
         hard, soft = SYLLABLES[script]
         return "".join(s.pick(hard) + s.pick(soft) for _ in range(3 + attempt // 2)).capitalize() + s.pick(hard)
-    return _same_shape(canon, s)
+    if kind == "ssn":
+        return _same_shape(canon, s) + "".join(s.pick(DIGITS) for _ in range(more))
+    return _same_shape(canon, s, more)
 
 
 def dressed(kind: str, mention: str, new: str) -> str:
@@ -207,7 +228,7 @@ def later_attempts(found: DataFrame, key: bytes) -> DataFrame:
 
     Given names are shared by many people and are left out. Of entities with one
     surrogate the first by hash keeps it. The rounds end when none clash; a form
-    with fewer values than the corpus has entities of it is an error.
+    whose values run short gets wider with each attempt.
     """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +248,6 @@ def later_attempts(found: DataFrame, key: bytes) -> DataFrame:
         again = judged.where("clash")
         if again.isEmpty():
             return judged.where("attempt > 0").select("kind", "canon", "attempt")
-        if again.agg(F.max("attempt")).first()[0] >= MOST_ATTEMPTS:
-            raise ValueError("too few surrogates of a form to keep its entities apart")
         moved = map_arrow(again.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), draw, schema)
         state = materialize(judged.where("not clash").select("kind", "canon", "attempt", "new").unionByName(moved), "drawn")
 

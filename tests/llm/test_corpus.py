@@ -342,6 +342,18 @@ def test_the_prefilter_passes_all_entities(monkeypatch):
     assert sum(map(bool, with_filter[:12])) == 12
 
 
+def test_forms_that_run_short_get_wider(table):
+    texts = ["pwd=******", "password=пароль", "card ٤٠٤١٨٩٤٩٧٤٦٠٨٧٩٥ end", "ssn ١٢٣-٤٥-٦٧٨٩ end", "call +٤٤ ٢٠ ٧٩٤٦ end"]
+    mails = [f"{a}@c{i}.com" for i in range(300) for a in ("hr", "pr", "me")]  # 676 forms of two letters
+    got = {r.doc_id: r for r in surrogates.with_surrogates(table([*enumerate(texts), *((10 + i, m) for i, m in enumerate(mails))]), b"k").collect()}
+    for i, t in enumerate(texts):
+        assert got[i].n_entities == 1 and got[i].text != t, t
+    assert "******" not in got[0].text and "пароль" not in got[1].text
+    new = [got[10 + i].text for i in range(len(mails))]
+    assert len(set(new)) == len(mails) and not set(new) & set(mails)
+    assert all(re.fullmatch(r"[a-z]{2,}@example\.com", m) for m in new)
+
+
 def test_clashing_surrogates_are_told_apart(table, monkeypatch):
     real = surrogates.surrogate
 
