@@ -16,7 +16,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablewright.llm.common import documents, id_and_text, slices, text_key
 from tablewright.session import map_arrow, materialize
@@ -192,15 +192,16 @@ def dressed(kind: str, mention: str, new: str) -> str:
     return new
 
 
-def replaced(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
-    """(text with every entity replaced, number of mentions)."""
+def replaced(text: str, key: bytes, attempts: dict[tuple[str, str], tuple[str, int]]) -> tuple[str, int]:
+    """(text with every entity replaced, number of mentions); ``attempts``: the settled kind and the attempt of entities that have others than their own and 0."""
     found = find(text)
     if not found:
         return text, 0
     out, at = [], 0
     for a, b, kind in found:
         canon = canonical(kind, text[a:b])
-        new = surrogate(key, kind, canon, attempts.get((kind, canon), 0))
+        settled, attempt = attempts.get((kind, canon), (kind, 0))
+        new = surrogate(key, settled, canon, attempt)
         out += [text[at:a], dressed(kind, text[a:b], new)]
         at = b
     return "".join([*out, text[at:]]), len(found)
@@ -224,9 +225,10 @@ def entities(docs: DataFrame) -> DataFrame:
 
 
 def later_attempts(found: DataFrame, key: bytes) -> DataFrame:
-    """(kind, canon, attempt) of the entities whose first surrogates clash.
+    """(kind, canon, settled, attempt) of the entities whose first surrogates clash, or whose kind is settled otherwise.
 
-    Given names are shared by many people and are left out. Of entities with one
+    A given name has one gender over all its mentions, none where they disagree,
+    and one surrogate; given names are told apart from each other. Of entities with one
     surrogate the first by hash keeps it. The rounds end when none clash; a form
     whose values run short gets wider with each attempt.
     """
@@ -237,19 +239,34 @@ def later_attempts(found: DataFrame, key: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], [*batch.schema.names, "new"])
 
     schema = "kind string, canon string, attempt int, new string"
-    real = materialize(found.select(F.explode("entities").alias("e")).select("e.*").where(~F.col("kind").startswith("given")).distinct(), "entities")
+    seen = materialize(found.select(F.explode("entities").alias("e")).select("e.*").distinct(), "seen")
+    # mentions with a neutral honorific say nothing about the gender
+    sexes = F.collect_set(F.when(F.col("kind") != "given-", F.col("kind")))
+    given = seen.where(F.col("kind").startswith("given")).groupBy("canon").agg(sexes.alias("all"))
+    given = given.select("canon", F.when(F.size("all") == 1, F.col("all")[0]).otherwise("given-").alias("kind"))
+    real = materialize(seen.where(~F.col("kind").startswith("given")).select("kind", "canon").unionByName(given), "entities")
     state = materialize(map_arrow(real.withColumn("attempt", F.lit(0)), draw, schema), "drawn")
-    taken = real.select(F.col("kind").alias("real_kind"), F.col("canon").alias("real"))
+
+    def among(kind: str) -> Column:
+        """Given names of all genders are told apart from each other."""
+        return F.when(F.col(kind).startswith("given"), "given").otherwise(F.col(kind))
+
+    taken = real.select(among("kind").alias("real_kind"), F.col("canon").alias("real"))
     while True:
         # who keeps a surrogate is settled before the shuffle
-        first = state.groupBy("kind", "new").agg(F.min(F.struct("attempt", F.xxhash64("canon").alias("h"), "canon")).alias("first"))
-        judged = state.join(first, ["kind", "new"]).join(taken, (F.col("kind") == F.col("real_kind")) & (F.col("new") == F.col("real")), "left")
+        drawn = state.withColumn("among", among("kind"))
+        first = drawn.groupBy("among", "new").agg(F.min(F.struct("attempt", F.xxhash64("canon").alias("h"), "canon")).alias("first"))
+        judged = drawn.join(first, ["among", "new"]).join(taken, (F.col("among") == F.col("real_kind")) & (F.col("new") == F.col("real")), "left")
         judged = materialize(judged.select("kind", "canon", "attempt", "new", ((F.col("first.canon") != F.col("canon")) | F.col("real").isNotNull()).alias("clash")), "judged")
         again = judged.where("clash")
         if again.isEmpty():
-            return judged.where("attempt > 0").select("kind", "canon", "attempt")
+            break
         moved = map_arrow(again.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), draw, schema)
         state = materialize(judged.where("not clash").select("kind", "canon", "attempt", "new").unionByName(moved), "drawn")
+    others = judged.where((F.col("attempt") > 0) & ~F.col("kind").startswith("given")).select("kind", "canon", F.col("kind").alias("settled"), "attempt")
+    names = judged.where(F.col("kind").startswith("given")).select("canon", F.col("kind").alias("settled"), "attempt")
+    mentions = seen.where(F.col("kind").startswith("given")).join(names, "canon").where("attempt > 0 or kind <> settled")
+    return others.unionByName(mentions.select("kind", "canon", "settled", "attempt"))
 
 
 def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,14 +281,14 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     found = materialize(entities(own), "found")
     later = later_attempts(found, key)
     held = found.select("doc_id", "text_key", F.explode("entities").alias("e")).select("doc_id", "text_key", "e.*").distinct()
-    by_doc = held.join(later, ["kind", "canon"]).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("kind", "canon", "attempt")).alias("attempts"))
+    by_doc = held.join(later, ["kind", "canon"]).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("kind", "canon", "settled", "attempt")).alias("attempts"))
     by_doc = materialize(by_doc, "attempts").select(F.col("doc_id").alias("i"), F.col("text_key").alias("k"), "attempts")
     joined = own.join(by_doc, own["doc_id"].eqNullSafe(by_doc["i"]) & (own["text_key"] == by_doc["k"]), "left").select("doc_id", "text", "attempts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in slices(batch, "text"):
-                got = [replaced(t, key, {(a["kind"], a["canon"]): a["attempt"] for a in more or ()})
+                got = [replaced(t, key, {(a["kind"], a["canon"]): (a["settled"], a["attempt"]) for a in more or ()})
                        for t, more in zip(run.column("text").to_pylist(), run.column("attempts").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [run.column("doc_id"), pa.array([n for _, n in got], pa.int64()), pa.array([t for t, _ in got], pa.string())], ["doc_id", "n_entities", "text"])

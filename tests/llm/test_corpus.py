@@ -354,6 +354,16 @@ def test_forms_that_run_short_get_wider(table):
     assert all(re.fullmatch(r"[a-z]{2,}@example\.com", m) for m in new)
 
 
+def test_given_names_are_told_apart(table):
+    names = [f"{a}{b}o" for a in "BDFGKLMNPR" for b in ("an", "el", "ir", "us")]
+    docs = [(i, f"Mr. {n} Smith") for i, n in enumerate(names)]
+    docs += [(50, "Dr. Anna Berg"), (51, "Frau Anna Berg"), (52, "Mr. Kai Berg"), (53, "Frau Kai Berg"), (54, "Dr. Kai Berg")]
+    got = {r.doc_id: r.text.split()[1] for r in surrogates.with_surrogates(table(docs), b"k").collect()}
+    assert got[50] == got[51] and got[52] == got[53] == got[54]
+    drawn = [got[i] for i in range(len(names))] + [got[50], got[52]]
+    assert len(set(drawn)) == len(drawn) and not set(drawn) & {*names, "Anna", "Kai"}
+
+
 def test_clashing_surrogates_are_told_apart(table, monkeypatch):
     real = surrogates.surrogate
 
