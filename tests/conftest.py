@@ -5,10 +5,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from samples import SF  # noqa: E402
 from tablewright.session import local_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,5 +25,3 @@ def lineitem(spark):
         "cents", F.round(F.col("l_extendedprice") * 100).cast("bigint")
     )
 
-
-KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "cents"]

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF
+from samples import SF
 from tablewright.catalog import all_queries, all_sql
 
 SLOW = ("h03", "h07", "h08", "h11", "h12")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import KEYS
+from samples import KEYS
 from tablewright.errors import EmptyDataError
 from tablewright.functions.roles import Roles, assign_roles
 from tablewright.operators.inference import infer_task

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import KEYS
+from samples import KEYS
 from tablewright.errors import TargetError
 from tablewright.plans.predictor import TablePredictor, evaluate, fit
 from tablewright.plans.search import ModelResult, choose
