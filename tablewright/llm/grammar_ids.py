@@ -28,52 +28,61 @@ from tablewright.session import map_arrow, scratch_path
 END_ID = 2
 BASE = 49_408  # terminals of the vocabulary; rules follow, all below 65,536
 SHARD_IDS = 1 << 20
-ROUNDS = 3
-LEAST = 16  # a pair seen less often in a round gets no rule
-BUCKETS = 18  # bits
+LEAST = 5  # a rule takes 8 bytes, each use of it saves 2
+SHARE = 8  # a round gives out one part in so many of the symbols, the most frequent pairs first
+BUCKETS = 17  # bits
 MAGIC = b"RPG1"
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, base: int = BASE,
-             least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def frequent_pairs(key: np.ndarray, least: int, most: int) -> np.ndarray:
+    """Up to ``most`` of the pairs that occur ``least`` times or more, the most frequent first."""
+    key = np.sort(key)
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    count = np.diff(np.append(begin, len(key)))
+    often = count >= least
+    begin, count = begin[often], count[often]
+    return key[begin[np.argsort(-count, kind="stable")[:most]]]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, base: int = BASE, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, first symbol of every document and the end, rules [n, 2]).
 
-    ``ends``: end of every document in ``ids``. Each round hashes all pairs into
-    buckets, counts one pair of each bucket exactly and gives the most frequent
-    ones a symbol; where they overlap, every second one of a run is replaced.
+    ``ends``: end of every document in ``ids``. Each round counts all pairs and
+    gives the most frequent ones a symbol; where they overlap, every second one of
+    a run is replaced. Rounds end when no pair occurs ``least`` times or the
+    symbols have run out. Two chosen pairs that share a bucket of the lookup take
+    turns: the rarer one waits for the next round.
     """
-    seq = ids.astype(np.int32)
+    if len(ids) and int(ids.max()) >= base:
+        raise ValueError(f"id {int(ids.max())} is outside the {base} terminals")
+    seq = ids.astype(np.uint16)
     last = np.zeros(len(seq), bool)  # symbol that ends its document
     last[ends[ends > 0] - 1] = True
     begins = np.append(0, ends[:-1]) if len(ends) else ends
     first = np.zeros(len(seq) + 1, np.int64)  # documents that begin at a position
     np.add.at(first, begins, 1)
     rules: list[np.ndarray] = []
-    free = (1 << 16) - base
-    for k in range(rounds):
-        if len(seq) < 2 or free <= 0:
-            break
-        key = (seq[:-1].astype(np.int64) << 16) | seq[1:]
-        slot = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS)).astype(np.int32)
+    symbols = (1 << 16) - base
+    free = symbols
+    while len(seq) > 1 and free > 0:
+        key = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
         open_ = ~last[:-1]
-        held = np.full(1 << BUCKETS, -1, np.int64)
-        held[slot[open_]] = key[open_]
-        same = open_ & (held[slot] == key)
-        counts = np.bincount(slot[same], minlength=1 << BUCKETS)
-        take = min(free, max(1, ((1 << 16) - base) // rounds) if k < rounds - 1 else free)
-        top = np.argsort(-counts, kind="stable")[:take]
-        top = top[counts[top] >= least]
-        if not len(top):
+        chosen = frequent_pairs(key[open_], least, min(free, max(1, symbols // SHARE)))
+        if not len(chosen):
             break
-        symbol = np.zeros(1 << BUCKETS, np.int32)
-        symbol[top] = base + sum(map(len, rules)) + np.arange(len(top))
-        new = np.where(same, symbol[slot], 0)
-        at = np.flatnonzero(new)
+        bucket = lambda k: (k * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS)
+        held, number = np.zeros(1 << BUCKETS, np.uint32), np.full(1 << BUCKETS, -1, np.int32)
+        slot = bucket(chosen)
+        held[slot[::-1]], number[slot[::-1]] = chosen[::-1], np.arange(len(chosen))[::-1]  # the most frequent stays
+        slot = bucket(key)
+        new = np.where(open_ & (held[slot] == key), number[slot], -1)
+        at = np.flatnonzero(new >= 0)
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         at = at[(at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0]
-        rules.append(np.stack([held[top] >> 16, held[top] & 0xFFFF], 1))
-        free -= len(top)
-        seq[at] = new[at]
+        used = np.bincount(new[at], minlength=len(chosen)) > 0
+        rules.append(np.stack([chosen[used] >> np.uint32(16), chosen[used] & np.uint32(0xFFFF)], 1))
+        seq[at] = (base + symbols - free + np.cumsum(used) - 1)[new[at]]
+        free -= int(used.sum())
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
@@ -109,8 +118,8 @@ def expand(seq: np.ndarray, rules: np.ndarray, base: int = BASE) -> np.ndarray:
         seq[second - 1], seq[second] = pairs[:, 0], pairs[:, 1]
 
 
-def pack(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> bytes:
-    seq, bounds, rules = compress(ids, ends, rounds)
+def pack(ids: np.ndarray, ends: np.ndarray) -> bytes:
+    seq, bounds, rules = compress(ids, ends)
     return b"".join([
         MAGIC, struct.pack("<4I", BASE, len(rules), len(seq), len(ends)), rules.astype("<u2").tobytes(),
         lengths_of(rules).astype("<u4").tobytes(), bounds.astype("<u4").tobytes(), seq.astype("<u2").tobytes(),
@@ -160,7 +169,7 @@ SHARDS = "part int, shard int, part_start long, n_ids long, doc_ids array<long>,
 
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS,
-              rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> None:
+              id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every text, ``end_id`` after each, as shards in ascending id order below ``path``.
 
     One range shuffle of id and text. A task streams its sorted rows and holds
@@ -177,7 +186,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
         def flush():
             nonlocal shard, before, held, ids
             size = np.array([len(x) for x in ids], np.int64)
-            blob = pack(np.concatenate(ids), np.cumsum(size), rounds)
+            blob = pack(np.concatenate(ids), np.cumsum(size))
             row = [[part], [shard], [before], [int(size.sum())], [held], [blob]]
             shard, before, held, ids = shard + 1, before + int(size.sum()), [], []
             return pa.RecordBatch.from_arrays(
