@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,9 +11,7 @@ from tablewright.functions.hashing import hash_order
 from tablewright.functions.roles import Roles
 from tablewright.operators import neighbors
 from tablewright.operators.linear import fit_linear
-from tablewright.operators.metrics import classification_metrics, regression_metrics
 from tablewright.operators.scoring import evaluate_scorers
-from tablewright.operators.trees import fit_tree
 from tablewright.plans.roster import SGD_CLASSIFIER, SGD_REGRESSOR, Candidate, distinct_points
 from tablewright.plans.search import TrainingTable, closed_scorer
 from tablewright.session import small_table, spread
@@ -325,35 +321,98 @@ def sgd_regressor(spark, sf):
     return _iterative(spark, _dense(spark, sf, REG_SQL, "regression", roles=WIDE), points, ["loss", "alpha", "l1_ratio"])
 
 
-# --- trees: trained on two folds, measured on the third, for every fold --------------------------------------------
+# --- trees: a grid shares its trees and its passes; trained on two folds, measured on the third, for every fold -----
 
-def _tree(model: str, params: dict, target: str, task: str, n_classes: int = 0):
-    def run(spark, sf):
-        df = _rows(spark, sf, target).withColumn("rid", F.xxhash64(*KEYS)).select("rid", "fold", "y", *WIDE.numerical, *WIDE.categorical)
-        t = TrainingTable(df, task, n_classes, K, WIDE, None, {"rid": "bigint"})
-        t.learn(False, False)
-        measure = classification_metrics if task == "classification" else regression_metrics
-        found = []
-        for fold in range(K):
-            data = t.train_vectors(fold).withColumn("val", F.pmod("rid", F.lit(10)) == 0)
-            fitted = fit_tree(model, params, data, task, n_classes, "val" if model == "GradientBoosting" else None, bins=t.bins())
-            found.append(measure(fitted.predict(t.held_vectors(fold).select("y", "features"))).withColumn("fold", F.lit(fold)))
-        return reduce(lambda a, b: a.unionByName(b), found)
+def _grid(model: str, **grid) -> list[tuple[str, dict]]:
+    return [(model, p) for p in distinct_points(Candidate(model, grid))]
 
-    return run
+
+def _trees(spark, sf, points: list[tuple[str, dict]], target: str, task: str, n_classes: int = 0, roles: Roles = WIDE) -> DataFrame:
+    """One row per (point, fold)."""
+    df = _rows(spark, sf, target).withColumn("rid", F.xxhash64(*KEYS)).select("rid", "fold", "y", *roles.numerical, *roles.categorical)
+    t = TrainingTable(df, task, n_classes, K, roles, None, {"rid": "bigint"})
+    t.learn(False, False)
+    asked = [(i, f) for i in range(len(points)) for f in range(K)]
+    made = t.trees([(*points[i], f) for i, f in asked])
+    got = evaluate_scorers(t.rows, t.enc, dict(zip(asked, made)), t.task)
+    t.close()
+    shown = [{k: str(v).lower() if v is None or k == "max_depth" else v for k, v in p.items()} for _, p in points]
+    return _scores(spark, shown, got, sorted(shown[0]))
 
 
 C, R = "classification", "regression"
+TREE_CLASSES = _grid("DecisionTree", max_depth=[3, 5, 10, 15, None], min_samples_split=[2, 5, 10, 20], min_samples_leaf=[1, 2, 5, 10], criterion=["gini", "entropy"])
+TREE_VALUES = _grid("DecisionTree", max_depth=[3, 5, 10, 15, 20, None], min_samples_split=[2, 5, 10, 20], min_samples_leaf=[1, 2, 5, 10], criterion=["squared_error"])
+FOREST = dict(n_estimators=[25, 50], max_depth=[3, 5], min_samples_split=[2, 5, 10])
+BOOST = dict(n_estimators=[25, 50], learning_rate=[0.1], max_depth=[3], subsample=[0.8, 1.0])
 for _name, _args in {
-    "g08_tree_classes": ("DecisionTree", {"max_depth": 10, "min_samples_leaf": 5, "criterion": "entropy"}, CLS3_SQL, C, 3),
-    "g09_forest_classes": ("RandomForest", {"n_estimators": 50, "max_depth": 5, "max_features": "sqrt"}, CLS3_SQL, C, 3),
-    "g10_extra_trees_classes": ("ExtraTrees", {"n_estimators": 50, "max_depth": 5}, CLS3_SQL, C, 3),
-    "g11_boosted_classes": ("GradientBoosting", {"n_estimators": 50, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}, CLS3_SQL, C, 3),
-    "g18_forest_values": ("RandomForest", {"n_estimators": 50, "max_depth": 5, "max_features": None}, REG_SQL, R),
-    "g19_tree_values": ("DecisionTree", {"max_depth": 10, "min_samples_leaf": 5}, REG_SQL, R),
-    "g20_extra_trees_values": ("ExtraTrees", {"n_estimators": 50, "max_depth": 5}, REG_SQL, R),
-    "g21_boosted_values": ("GradientBoosting", {"n_estimators": 50, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}, REG_SQL, R),
+    "g08_tree_classes": (TREE_CLASSES, CLS3_SQL, C, 3),
+    "g09_forest_classes": (_grid("RandomForest", max_features=["sqrt"], **FOREST), CLS3_SQL, C, 3),
+    "g10_extra_trees_classes": (_grid("ExtraTrees", **FOREST), CLS3_SQL, C, 3),
+    "g11_boosted_classes": (_grid("GradientBoosting", **BOOST), CLS3_SQL, C, 3),
+    "g18_forest_values": (_grid("RandomForest", max_features=[None], **FOREST), REG_SQL, R),
+    "g19_tree_values": (TREE_VALUES, REG_SQL, R),
+    "g20_extra_trees_values": (_grid("ExtraTrees", **FOREST), REG_SQL, R),
+    "g21_boosted_values": (_grid("GradientBoosting", **BOOST), REG_SQL, R),
 }.items():
-    reg(_name)(_tree(*_args))
+    reg(_name)(lambda spark, sf, args=_args: _trees(spark, sf, *args))
+
+#: All cuts of two features, with rows (and classes) on either side; the first feature, then the lowest cut, wins ties.
+CUTS_SQL = """v as (select t, 0 as f, x1 as x, c3, y from d join t on d.fold <> t.t union all select t, 1, x2, c3, y from d join t on d.fold <> t.t),
+u as (select f, x, lead(x) over (partition by f order by x) as above from (select distinct f, x from v)),
+cut as (select f, (x + above) / 2 as cut from u where above is not null)"""
+
+STUMP_SQL = f"""with {TRAIN},
+{CUTS_SQL},
+n as (select t, f, cut, c3, v.x <= cut as below, count(*)::double as n from v join cut using (f) group by all),
+sides as (select t, f, cut, below, sum(n) as n, sum(n * n) / sum(n) as gini, sum(n * ln(n)) - sum(n) * ln(sum(n)) as entropy, arg_max(c3, (n, -c3)) as p from n group by all),
+g as (select t, f, cut, criterion, sum(case criterion when 'gini' then gini else entropy end) as gain, max(p) filter (below) as p1, max(p) filter (not below) as p2
+  from sides, (values ('gini'), ('entropy')) k(criterion) group by all having count(*) = 2),
+best as (select *, row_number() over (partition by t, criterion order by round(gain, 4) desc, f, cut) as rn from g)
+select criterion, '1' as max_depth, fold, round(avg((case when case f when 0 then x1 else x2 end <= cut then p1 else p2 end = d.c3)::int), 6)::double as score
+from d join best on d.fold = best.t where rn = 1 group by 1, 3"""
+
+
+@reg("g08_tree_stump", STUMP_SQL)
+def tree_stump(spark, sf):
+    return _trees(spark, sf, _grid("DecisionTree", max_depth=[1], criterion=["gini", "entropy"]), CLS3_SQL, C, 3, ROLES)
+
+
+VALUE_SQL = f"""with {TRAIN},
+{CUTS_SQL},
+sides as (select t, f, cut, v.x <= cut as below, count(*)::double as n, sum(y) as s, avg(y) as p from v join cut using (f) group by all),
+g as (select t, f, cut, sum(s * s / n) as gain, max(p) filter (below) as p1, max(p) filter (not below) as p2 from sides group by all having count(*) = 2 and min(n) >= 5),
+best as (select *, row_number() over (partition by t order by gain desc) as rn from g)
+select 'squared_error' as criterion, '1' as max_depth, 5.0::double as min_samples_leaf, fold,
+  round(-avg((y - case when case f when 0 then x1 else x2 end <= cut then p1 else p2 end) ** 2), 6)::double as score
+from d join best on d.fold = best.t where rn = 1 group by fold"""
+
+
+@reg("g19_tree_stump", VALUE_SQL)
+def value_stump(spark, sf):
+    return _trees(spark, sf, _grid("DecisionTree", max_depth=[1], min_samples_leaf=[5], criterion=["squared_error"]), REG_SQL, R, 0, ROLES)
+
+
+#: A target of few values: their counts give every median exactly.
+STEPS_SQL = "floor(l_quantity / 7) * 3 + floor(200 * l_discount / 5)"
+ABSOLUTE_SQL = f"""with {TRAIN.replace(REG_SQL, STEPS_SQL)},
+{CUTS_SQL},
+m as (select t, f, cut, v.x <= cut as below, median(y) as p, count(*) as n from v join cut using (f) group by all),
+e as (select t, f, cut, below, any_value(m.p) as p, sum(abs(y - m.p)) as e from m join v using (t, f) where (v.x <= cut) = below group by all),
+g as (select t, f, cut, sum(e) as e, max(p) filter (below) as p1, max(p) filter (not below) as p2 from e group by all having count(*) = 2),
+best as (select *, row_number() over (partition by t order by e, f, cut) as rn from g)
+select 'absolute_error' as criterion, '1' as max_depth, fold, round(-avg((y - case when case f when 0 then x1 else x2 end <= cut then p1 else p2 end) ** 2), 6)::double as score
+from d join best on d.fold = best.t where rn = 1 group by fold"""
+
+
+@reg("g19_tree_absolute_stump", ABSOLUTE_SQL)
+def absolute_stump(spark, sf):
+    return _trees(spark, sf, _grid("DecisionTree", max_depth=[1], criterion=["absolute_error"]), STEPS_SQL, R, 0, ROLES)
+
+
+@reg("g19_tree_absolute")
+def tree_absolute(spark, sf):
+    return _trees(spark, sf, _grid("DecisionTree", max_depth=[2, 4], min_samples_split=[2, 20], min_samples_leaf=[5], criterion=["absolute_error"]), REG_SQL, R)
+
 
 QUERIES, SQL = reg.queries, reg.sql

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.functions.roles import Roles
@@ -214,6 +215,18 @@ def sparse_rows(df: DataFrame, y: str, fold: str, keep: Sequence[str] = ()) -> D
     return df.select(*keep, F.col(fold).cast("int").alias("fold"), F.col(y).cast("double").alias("y"), "indices", "values")
 
 
+def sparse_vectors(df: DataFrame, n_features: int, keep: Sequence[str], scale: np.ndarray | None = None) -> DataFrame:
+    """``indices, values`` as an MLlib vector, optionally scaled per column."""
+    factors = None if scale is None else np.asarray(scale)
+
+    @F.udf(returnType=VectorUDT())
+    def build(ind, val):
+        v = np.asarray(val, float) if factors is None else np.asarray(val, float) * factors[ind]
+        return Vectors.sparse(n_features, ind, v)
+
+    return df.select(*keep, build("indices", "values").alias("features"))
+
+
 def batches(enc, it: Iterator[pa.RecordBatch]):
     for rb in it:
         if rb.num_rows:

@@ -207,18 +207,11 @@ SAME_OPTIMUM = {
     "Lasso": ("selection", "max_iter"),
     "SGDClassifier": ("learning_rate",),
     "SGDRegressor": ("learning_rate",),
-    "DecisionTree": ("min_samples_split",),
-    "RandomForest": ("min_samples_split",),
-    "ExtraTrees": ("min_samples_split",),
 }
 
 
 def canonical(model: str, point: dict[str, Any]) -> dict[str, Any] | None:
-    """The point without parameters that cannot change the result; None when it is invalid.
-
-    ``min_samples_split`` has no counterpart in the tree learners used here and
-    is left out of the search; the leaderboard shows only what was searched.
-    """
+    """The point without parameters that cannot change the result; None when it is invalid."""
     p = {k: v for k, v in point.items() if k not in SAME_OPTIMUM.get(model, ())}
     if model in ("SGDClassifier", "SGDRegressor"):
         ratio = {"l2": 0, "l1": 1}.get(p.pop("penalty"), p.get("l1_ratio"))
@@ -234,10 +227,8 @@ def canonical(model: str, point: dict[str, Any]) -> dict[str, Any] | None:
             return None
         if p["solver"] == "eigen":
             p["solver"] = "lsqr"
-    if model == "DecisionTree" and p.get("criterion") in ("friedman_mse", "absolute_error"):
-        p["criterion"] = "squared_error" if p["criterion"] == "friedman_mse" else None
-        if p["criterion"] is None:
-            return None
+    if model == "DecisionTree" and p.get("criterion") == "friedman_mse":
+        p["criterion"] = "squared_error"  # the same cut is best under both
     return p
 
 

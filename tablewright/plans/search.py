@@ -6,7 +6,7 @@ moments give it for every training subset. Models are searched in families:
 * closed-form models: all points and folds from the moments, scored in one pass;
 * iterative linear models: all points, folds and classes share each pass;
 * neighbours: one neighbour table per metric serves every k and weighting;
-* trees: one MLlib fit per point and fold.
+* trees: points that differ in stopping rules share their trees, and all grow in the same passes.
 """
 
 from __future__ import annotations
@@ -31,19 +31,18 @@ from tablewright.operators.design import (
     dense_rows,
     learned_preparation,
     sparse_rows,
+    sparse_vectors,
 )
 from tablewright.operators.linear import fit_linear
 from tablewright.operators.moments import Moments, feature_maps, fold_moments, fourth_moments
 from tablewright.operators.scoring import evaluate_scorers, predict_rows
-from tablewright.operators.trees import TreeModel, fit_tree, sparse_vectors
+from tablewright.operators.trees import TREES, fit_points
 from tablewright.plans.roster import CLS, Candidate, distinct_points
 from tablewright.session import map_arrow, spread
 
 CLOSED = ("RidgeClassifier", "LDA", "GaussianNB", "MultinomialNB", "Ridge", "Lasso", "ElasticNet")
 QUADRATIC = ("RidgeClassifier", "Ridge", "Lasso", "ElasticNet")  # wide tables: the same optimum by passes
 ITERATIVE = ("LinearSVC", "SGDClassifier", "LogisticRegression", "LinearSVR", "SGDRegressor")
-MAX_BINS = 256
-TREES = ("DecisionTree", "RandomForest", "ExtraTrees", "GradientBoosting")
 
 
 @dataclass
@@ -93,8 +92,6 @@ class TrainingTable:
         self.rows = spread(rows).persist()
         self.moments: Moments | None = None
         self.maps: list = []
-        self._vectors: dict[int, DataFrame] = {}
-        self._bins: int | None = None
 
     @property
     def wide(self) -> bool:
@@ -124,37 +121,15 @@ class TrainingTable:
         schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "x array<double>"])
         return map_arrow(self.rows, prepare, schema).select(*keep, array_to_vector("x").alias("features"))
 
-    def bins(self) -> int:
-        """Bins for trees: as many as the most distinct values of a number, within 32 and ``MAX_BINS``."""
-        if self.sparse or self.enc.width > 1000:
-            return 32
-        if self._bins is None:
-            numbers = list(self.enc.roles.numerical) + list(self.enc.roles.other)
-            found = self.df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"n{i}") for i, c in enumerate(numbers)]).first() if numbers else ()
-            # a count is off by some percent
-            self._bins = int(min(MAX_BINS, max([32, *(1.1 * n + 2 for n in found)])))
-        return self._bins
+    def trees(self, points: list[tuple[str, dict[str, Any], int]]) -> list:
+        """Scorers of tree models given as (model, parameters, training subset)."""
+        return fit_points(self.rows, self.enc, self.moments, points, self.task == CLS, self.n_classes, list(self.keep))
 
     def preparation(self, t: int):
         m = self.moments
         return learned_preparation(self.enc, m.train("sums", t).sum(axis=0), m.train("squares", t).sum(axis=0))
 
-    def train_vectors(self, t: int) -> DataFrame:
-        if t not in self._vectors:
-            self._vectors[t] = spread(self.vectors(t)).persist()
-        return self._vectors[t].where((F.col("fold") != TEST) & (F.col("fold") != t))
-
-    def held_vectors(self, t: int) -> DataFrame:
-        self.train_vectors(t)
-        return self._vectors[t].where(F.col("fold") == t)
-
-    def forget(self, t: int) -> None:
-        if t in self._vectors:
-            self._vectors.pop(t).unpersist()
-
     def close(self) -> None:
-        for t in list(self._vectors):
-            self.forget(t)
         self.rows.unpersist()
 
 
@@ -225,27 +200,6 @@ def search_neighbours(table: TrainingTable, points: list[Point], id_col: str) ->
             found.unpersist()
 
 
-def _tree_score(table: TrainingTable, fitted: TreeModel, held: DataFrame) -> float:
-    p = fitted.predict(held.select("y", "features"))
-    gain = F.avg((F.col("p") == F.col("y")).cast("double")) if table.task == CLS else -F.avg(
-        (F.col("p") - F.col("y")) * (F.col("p") - F.col("y"))
-    )
-    return p.agg(gain.alias("s")).first()["s"]
-
-
-def _with_validation(table: TrainingTable, df: DataFrame) -> DataFrame:
-    """A tenth of the rows, chosen by key hash, decides when boosting stops."""
-    keys = list(table.keep) or ["y"]
-    return df.withColumn("__val", F.pmod(F.xxhash64(*keys), F.lit(10)) == 0)
-
-
-def fit_tree_on(table: TrainingTable, model: str, params: dict[str, Any], t: int) -> TreeModel:
-    data = table.train_vectors(t)
-    if model == "GradientBoosting":
-        return fit_tree(model, params, _with_validation(table, data), table.task, table.n_classes, "__val", table.bins())
-    return fit_tree(model, params, data, table.task, table.n_classes, bins=table.bins())
-
-
 def _attempt(points: list[Point], work) -> None:
     """Run ``work`` for a family; a failure marks its points instead of ending the search."""
     try:
@@ -329,6 +283,18 @@ def search(table: TrainingTable, candidates: list[Candidate], max_points: int |
                 for p in own:
                     p.error = None
                 _attempt(own, linear_models)
+    grown = [p for p in every if p.model in TREES]
+    if grown:
+        def tree_models(points):
+            asked = [(p, t) for p in points for t in range(k)]
+            scorers.update({(index[id(p)], t): s for (p, t), s in zip(asked, table.trees([(p.model, p.params, t) for p, t in asked]))})
+        _attempt(grown, tree_models)
+        if all(p.error for p in grown):
+            for name in dict.fromkeys(p.model for p in grown):
+                own = [p for p in grown if p.model == name]
+                for p in own:
+                    p.error = None
+                _attempt(own, tree_models)
     if scorers:
         def score(points):
             own = {key: s for key, s in scorers.items() if every[key[0]] in points}
@@ -344,16 +310,6 @@ def search(table: TrainingTable, candidates: list[Candidate], max_points: int |
                 _attempt(own, score)
     if "KNN" in plan:
         _attempt(plan["KNN"], lambda points: search_neighbours(table, points, id_col or list(table.keep)[0]))
-    tree_points = [p for p in every if p.model in TREES]
-    for t in range(k):
-        for p in tree_points:
-            def tree_fit(points, t=t):
-                for q in points:
-                    q.scores[t] = _tree_score(table, fit_tree_on(table, q.model, q.params, t), table.held_vectors(t))
-            if p.error is None:
-                _attempt([p], tree_fit)
-        if tree_points:
-            table.forget(t)
     return _refit(table, candidates, plan, fourth, id_col, max_passes)
 
 
@@ -391,7 +347,7 @@ def _refit(table, candidates, plan, fourth, id_col, max_passes) -> list[ModelRes
             if c.model in CLOSED:
                 result.fitted = closed_scorer(table, c.model, b.params, k, fourth)
             elif c.model in TREES:
-                result.fitted = fit_tree_on(table, c.model, b.params, k)
+                result.fitted = table.trees([(c.model, b.params, k)])[0]
             elif c.model == "KNN":
                 rows = _neighbour_rows(table, k, id_col or list(table.keep)[0])
                 result.fitted = NeighbourModel(rows.where(F.col("fold") != TEST), b.params, table)
@@ -416,10 +372,6 @@ def predictions(table: TrainingTable, result: ModelResult, test_only: bool = Tru
     """``keep, y, p`` on the hold-out rows."""
     k, keep = table.k, list(table.keep)
     rows = table.rows.where(F.col("fold") == TEST) if test_only else table.rows
-    if isinstance(result.fitted, TreeModel):
-        v = table.vectors(k)
-        v = v.where(F.col("fold") == TEST) if test_only else v
-        return result.fitted.predict(v.drop("fold")).select(*keep, "y", "p")
     if isinstance(result.fitted, NeighbourModel):
         v = table.vectors(k)
         v = v.where(F.col("fold") == TEST) if test_only else v
