@@ -6,7 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tablewright.catalog.common import KEY_SQL, KEYS, LI, Registry, hash_sql, lineitem, table, with_gaps
 from tablewright.catalog.profile import TERMS, term_rows
@@ -20,8 +20,10 @@ from tablewright.operators.prepare import (
     modes,
     scale_without_centering,
 )
-from tablewright.operators.select import anova_f, correlation_f, large_data_chain, top_features
+from tablewright.operators.select import anova_f, correlation_f, large_data_chain, sparse_anova_f, sparse_correlation_f, top_features
 from tablewright.operators.split import assign_folds, holdout_split
+from tablewright.session import spread
+from tablewright.sources.matrix import add_duplicates
 
 reg = Registry()
 
@@ -142,6 +144,38 @@ def top_correlation(spark, sf):
     return _select_names(top_features(correlation_f(li, NUMS, "reg"), 3))
 
 
+WORDS_SQL = """
+words as (select doc_id, lang, n_chars, unnest(string_split_regex(lower(text), '[^a-z]+')) as w from documents),
+cells as (select doc_id, lang, n_chars, w, count(*)::double as val from words where w <> '' group by all)"""
+
+
+def _word_rows(spark, sf) -> DataFrame:
+    """Documents as sparse rows: how often each whole word occurs."""
+    d = spread(table(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text"))
+    ones = F.array_sort(F.transform(F.filter(F.split(F.lower("text"), r"[^a-z]+"), lambda w: w != ""), lambda w: F.struct(w.alias("idx"), F.lit(1.0).alias("val"))))
+    c = d.select("lang", "n_chars", ones.alias("sorted")).withColumn("c", add_duplicates(F.col("sorted")))
+    return c.select("lang", "n_chars", F.transform("c", lambda s: s["idx"]).alias("indices"), F.transform("c", lambda s: s["val"]).alias("values"))
+
+
+@reg("e08_top_words_anova", f"""with {WORDS_SQL},
+z as (select lang, count(*)::double as rows from documents group by 1),
+b as (select w, lang, sum(val) as s, sum(val * val) as q from cells group by all),
+t as (select w, sum(s) as s, sum(q) as q, sum(s * s / rows) as own from b join z using (lang) group by 1),
+n as (select sum(rows) as n, count(*) as k from z)
+select w as idx, round(((own - s * s / n) / (k - 1)) / ((q - own) / (n - k)), 4)::double as f from t, n order by 2 desc nulls last, 1 limit 10""")
+def top_words_anova(spark, sf):
+    return top_features(sparse_anova_f(_word_rows(spark, sf), "lang").withColumn("f", F.round("f", 4)), 10)
+
+
+@reg("e09_top_words_correlation", f"""with {WORDS_SQL},
+n as (select count(*) as n, avg(n_chars) as m, var_pop(n_chars) * count(*) as sq from documents),
+t as (select w, sum(val) as s, sum(val * val) as q, sum(val * (n_chars - m)) as p from cells, n group by 1),
+r as (select w, p * p / ((q - s * s / n) * sq) as r2, n from t, n)
+select w as idx, round(r2 / (1 - r2) * (n - 2), 3)::double as f from r order by 2 desc nulls last, 1 limit 10""")
+def top_words_correlation(spark, sf):
+    return top_features(sparse_correlation_f(_word_rows(spark, sf), "n_chars").withColumn("f", F.round("f", 3)), 10)
+
+
 @reg("e10_large_data_prep")
 def large_data(spark, sf):
     li = lineitem(spark, sf).withColumn("label", F.expr("cast(l_quantity > 25 as double)"))

@@ -23,3 +23,7 @@ class NoModelError(RuntimeError):
 
 class ConvergenceError(RuntimeError):
     """A fit missed its tolerance."""
+
+
+class DeadlineError(RuntimeError):
+    """The time budget of a search is over."""

@@ -54,6 +54,39 @@ def correlation_f(df: DataFrame, columns: Sequence[str], target: str) -> DataFra
     return stats.select("idx", (F.try_divide(r2, 1 - r2) * (F.col("n") - 2)).alias("f"))
 
 
+def _cells(df: DataFrame, y: str) -> DataFrame:
+    """One row per stored value of sparse rows."""
+    return df.select(F.col(y).alias("y"), F.explode(F.arrays_zip("indices", "values")).alias("c")).select(
+        "y", F.col("c.indices").alias("idx"), F.col("c.values").cast("double").alias("val"))
+
+
+def sparse_anova_f(df: DataFrame, label: str) -> DataFrame:
+    """``idx, f`` of the one-way analysis of variance of sparse rows (``indices, values``); what isn't stored is zero.
+
+    Zeros add nothing to sums: a feature's sums per class over stored values and
+    the classes' sizes give all of it. Sums combine on the map side; the shuffle
+    carries features x classes rows, and the classes' sizes go to every task (their
+    number is bounded where labels are read).
+    """
+    sizes = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("rows"))
+    n, k = sizes.agg(F.sum("rows"), F.count(F.lit(1))).first()
+    sums = _cells(df, label).groupBy("idx", "y").agg(F.sum("val").alias("s"), F.sum(F.col("val") * F.col("val")).alias("q"))
+    total = sums.join(F.broadcast(sizes), "y").groupBy("idx").agg(
+        F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("rows")).alias("own"))
+    between, within = F.col("own") - F.col("s") * F.col("s") / n, F.col("q") - F.col("own")
+    return total.select("idx", F.try_divide(between / (k - 1), within / (n - k)).alias("f"))
+
+
+def sparse_correlation_f(df: DataFrame, target: str) -> DataFrame:
+    """``idx, f`` = r²/(1-r²)·(n-2) of sparse rows; what isn't stored is zero."""
+    y = F.col(target).cast("double")
+    n, mean, squares = df.where(y.isNotNull()).agg(F.count(y), F.avg(y), F.var_pop(y) * F.count(y)).first()
+    sums = _cells(df.withColumn(target, y - F.lit(mean)), target).groupBy("idx").agg(
+        F.sum("val").alias("s"), F.sum(F.col("val") * F.col("val")).alias("q"), F.sum(F.col("val") * F.col("y")).alias("p"))
+    r2 = F.try_divide(F.col("p") * F.col("p"), (F.col("q") - F.col("s") * F.col("s") / n) * F.lit(squares))
+    return sums.select("idx", (F.try_divide(r2, 1 - r2) * (n - 2)).alias("f"))
+
+
 def top_features(scores: DataFrame, k: int) -> DataFrame:
     """The k best features; undefined scores rank last, ties keep column order."""
     return scores.orderBy(F.col("f").desc_nulls_last(), "idx").limit(k)

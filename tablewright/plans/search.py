@@ -12,6 +12,7 @@ moments give it for every training subset. Models are searched in families:
 from __future__ import annotations
 
 import traceback
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -37,6 +38,7 @@ from tablewright.operators.linear import fit_linear
 from tablewright.operators.moments import Moments, feature_maps, fold_moments, fourth_moments
 from tablewright.operators.scoring import evaluate_scorers, predict_rows
 from tablewright.operators.trees import TREES, fit_points
+from tablewright.plans.deadline import Deadline
 from tablewright.plans.roster import CLS, Candidate, distinct_points
 from tablewright.session import map_arrow, spread
 
@@ -200,10 +202,21 @@ def search_neighbours(table: TrainingTable, points: list[Point], id_col: str) ->
             found.unpersist()
 
 
+_limit: ContextVar[Deadline | None] = ContextVar("limit", default=None)
+
+
 def _attempt(points: list[Point], work) -> None:
     """Run ``work`` for a family; a failure marks its points instead of ending the search."""
+    limit = _limit.get()
     try:
-        work(points)
+        try:
+            if limit is not None:
+                limit.check()
+            work(points)
+        except Exception:
+            if limit is not None:
+                limit.check()  # a job that was cancelled ended because of the budget
+            raise
     except Exception as e:  # noqa: BLE001  any learner failure is a leaderboard row
         for p in points:
             p.error = p.error or f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
@@ -238,12 +251,25 @@ def _learn(table: TrainingTable, plan: dict[str, list[Point]], every: list[Point
 
 
 def search(table: TrainingTable, candidates: list[Candidate], max_points: int | None = None,
-           id_col: str | None = None, max_passes: int = 1000) -> list[ModelResult]:
+           id_col: str | None = None, max_passes: int = 1000, budget: float | None = None) -> list[ModelResult]:
     """Best point per candidate, refitted on all training rows, in roster order.
 
     ``max_points`` bounds the searched points per model (evenly spaced over the
-    distinct points of its grid); None searches all of them.
+    distinct points of its grid); None searches all of them. After ``budget``
+    seconds running jobs are cancelled and models without scores are failed; those
+    with scores are still refitted.
     """
+    with Deadline(table.rows.sparkSession.sparkContext, budget) as limit:
+        token = _limit.set(limit)
+        try:
+            plan, fourth = _scored(table, candidates, max_points, id_col, max_passes)
+        finally:
+            _limit.reset(token)
+    return _refit(table, candidates, plan, fourth, id_col, max_passes)
+
+
+def _scored(table: TrainingTable, candidates: list[Candidate], max_points: int | None, id_col: str | None, max_passes: int):
+    """All points of all candidates with their scores or errors, and the sums that refits share."""
     plan: dict[str, list[Point]] = {}
     for c in candidates:
         pts = distinct_points(c)
@@ -253,7 +279,15 @@ def search(table: TrainingTable, candidates: list[Candidate], max_points: int |
         plan[c.model] = [Point(c.model, p) for p in pts]
     every = [p for pts in plan.values() for p in pts]
     k = table.k
-    fourth = _learn(table, plan, every)
+    fourth = None
+
+    def learn(points):
+        nonlocal fourth
+        fourth = _learn(table, plan, every)
+
+    _attempt(every, learn)
+    if table.moments is None:
+        return plan, None
 
     scorers: dict[tuple[int, int], Any] = {}
     index = {id(p): i for i, p in enumerate(every)}
@@ -310,7 +344,7 @@ def search(table: TrainingTable, candidates: list[Candidate], max_points: int |
                 _attempt(own, score)
     if "KNN" in plan:
         _attempt(plan["KNN"], lambda points: search_neighbours(table, points, id_col or list(table.keep)[0]))
-    return _refit(table, candidates, plan, fourth, id_col, max_passes)
+    return plan, fourth
 
 
 def _best_point(points: list[Point], k: int) -> Point | None:

@@ -73,3 +73,34 @@ def test_a_bad_dataset_does_not_stop_the_others(spark, tmp_path):
     done = fit(spark, str(tmp_path), models=["GaussianNB", "LDA"], max_points=1)
     assert list(done.predictors) == ["good"] and "RowMismatchError" in done.errors["bad"]
     assert evaluate(done).count() == 2
+
+
+def test_the_budget_cancels_running_jobs(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tablewright.functions.roles import Roles
+    from tablewright.plans.roster import Candidate
+    from tablewright.plans.search import TrainingTable, search
+
+    slow = F.udf(lambda x: time.sleep(0.05) or float(x), "double")
+    df = spark.range(4000).repartition(8).select(F.col("id"), (F.col("id") % 3).cast("int").alias("fold"), (F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 7).cast("double").alias("a"))
+    t = TrainingTable(df, "classification", 2, 3, Roles(("a",)), None, {"id": "bigint"})
+    t.rows.unpersist()
+    t.rows = t.rows.withColumn("y", slow("y"))  # every pass takes some 25 s
+    began = time.monotonic()
+    got = search(t, [Candidate("GaussianNB", {"var_smoothing": [1e-9]}), Candidate("DecisionTree", {"max_depth": [2]})], budget=1)
+    assert time.monotonic() - began < 15
+    assert all(not r.ok and r.error.startswith("DeadlineError") for r in got)
+    time.sleep(0.5)
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()
+
+
+def test_too_many_labels_are_no_classes(spark):
+    from tablewright.errors import TargetError
+    from tablewright.plans.predictor import class_list
+
+    with pytest.raises(TargetError):
+        class_list(spark.range(20), "id", 10)
+    assert class_list(spark.range(3), "id", 10) == [0, 1, 2]
