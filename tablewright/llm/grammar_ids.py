@@ -29,7 +29,7 @@ END_ID = 2
 BASE = 49_408  # terminals of the vocabulary; rules follow, all below 65,536
 SHARD_IDS = 1 << 20
 LEAST = 5  # a rule takes 8 bytes, each use of it saves 2
-SHARE = 8  # a round gives out one part in so many of the symbols, the most frequent pairs first
+SHARE = 4  # a round gives out one part in so many of the symbols, the most frequent pairs first
 BUCKETS = 17  # bits
 MAGIC = b"RPG1"
 
