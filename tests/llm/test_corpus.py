@@ -440,3 +440,23 @@ def test_pipeline_stages_against_brute_force(spark):
     assert sorted(i for i, _ in rows[4]) == sorted(r[0] for r in brute_contamination(rows[3], items) if not r[4])
     assert {r.doc_id for r in kept[-1].collect()} == {i for i, _ in rows[4]}
     assert c.run(spark, SF).count() == kept[-1].count()
+
+
+def test_windows_of_many_pairs_equal_those_of_each():
+    from tablewright.llm.passages import shared_windows, shared_windows_of
+
+    rng = np.random.default_rng(21)
+    pairs = []
+    for k in range(120):
+        x = rng.integers(1, 1 << 60, int(rng.integers(1, 200)), dtype=np.uint64)
+        y = x[int(rng.integers(0, len(x))) :].copy()
+        y[rng.random(len(y)) < rng.choice([0, 0.05, 0.3])] = 7
+        if k % 3 == 0:
+            y = np.concatenate([rng.integers(1, 1 << 60, 50, dtype=np.uint64), y, x[:40]])
+        if k % 5 == 0:
+            y = y[rng.permutation(len(y))]
+        pairs += [(x, y), (y, x)]
+    pairs += [(x, x) for x, _ in pairs[:3]] + [(pairs[0][0], np.zeros(0, np.uint64))]
+    got = shared_windows_of(pairs, 46)
+    assert all((g == shared_windows(x, y, 46)).all() and len(g) == len(shared_windows(x, y, 46)) for g, (x, y) in zip(got, pairs))
+    assert sum(g.any() for g in got) > 20
