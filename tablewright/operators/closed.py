@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from tablewright.errors import ConvergenceError
 from tablewright.operators.moments import Moments, prepared_gram
 from tablewright.operators.scoring import ARGMAX, SIGN, VALUE, LinearScorer, QuadraticScorer
 
@@ -80,8 +81,8 @@ def coordinate_descent(sxx: np.ndarray, sxy: np.ndarray, l1: float, l2: float, n
                 w[j] = new
                 moved = max(moved, abs(step))
         if moved <= tol * max(1.0, np.abs(w).max()):
-            break
-    return w
+            return w
+    raise ConvergenceError(f"coordinate descent missed its tolerance after {max_iter} sweeps")
 
 
 def elastic_net(m: Moments, maps, t: int, alpha: float, l1_ratio: float) -> LinearScorer:

@@ -18,8 +18,9 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
+from tablewright.errors import DataFormatError
 from tablewright.functions.roles import Roles
-from tablewright.operators.prepare import Preparation, category_counts, numeric_statistics, present
+from tablewright.operators.prepare import MAX_CATEGORIES, Preparation, category_counts, numeric_statistics, present
 
 MAX_GRAM = 4096
 TEST = -1
@@ -172,12 +173,12 @@ def dense_encoding(df: DataFrame, roles: Roles) -> DenseEncoding:
     vocab: list[tuple[str, ...]] = [() for _ in roles.categorical]
     gone_cat = []
     if roles.categorical:
-        rows = (
-            category_counts(df, roles.categorical)
-            .groupBy("idx")
-            .agg(F.array_sort(F.collect_list("value")).alias("vs"), F.sum("n").alias("n"))
-            .collect()
-        )
+        counts = category_counts(df, roles.categorical).persist()
+        n = counts.count()
+        if n > MAX_CATEGORIES:
+            raise DataFormatError(f"{n} categories in {list(roles.categorical)}: identifiers are not categories")
+        rows = counts.groupBy("idx").agg(F.array_sort(F.collect_list("value")).alias("vs"), F.sum("n").alias("n")).collect()
+        counts.unpersist()
         seen = {r["idx"]: r for r in rows}
         for j in range(len(roles.categorical)):
             r = seen.get(j)

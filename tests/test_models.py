@@ -408,3 +408,12 @@ def test_wide_models_equal_those_of_the_gram_matrix(spark, monkeypatch):
                 assert "discriminant analysis" in scores[1][model][1]
             else:
                 assert scores[1][model][0] == pytest.approx(score, rel=2e-3), model
+
+
+def test_coordinate_descent_that_misses_its_tolerance_fails():
+    from tablewright.errors import ConvergenceError
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50, 6)) @ rng.normal(size=(6, 6))
+    with pytest.raises(ConvergenceError):
+        closed.coordinate_descent(x.T @ x, x.T @ x[:, 0], 0.0, 0.0, 50.0, max_iter=2)
