@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ def test_query_equals_sql(spark, name):
     got, want = all_queries()[name](spark, SF).toPandas(), con.execute(all_sql()[name]).df()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
-    assert plain(map(tuple, got[columns].values.tolist())) == plain(map(tuple, want[columns].values.tolist()))
+    tuples = lambda pdf: [tuple(None if pd.isna(v) else v for v in r) for r in pdf[columns].values.tolist()]
+    assert plain(tuples(got)) == plain(tuples(want))
 
 
 # sharding
