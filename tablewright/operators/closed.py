@@ -104,21 +104,10 @@ def class_means(m: Moments, fm, t: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def class_variances(m: Moments, fm, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(n, means, population variances, variance over all classes).
-
-    A prepared feature mixes encoded columns that are never non-zero together
-    (a number and its missing flag; a category and the missing flag), so its
-    square needs the columns' own squares and sums only.
-    """
+    """(n, means, population variances, variance over all classes)."""
     n, mu = class_means(m, fm, t)
     sums, squares = m.train("sums", t), m.train("squares", t)
-    a = fm.matrix
-    a0, rest = a[:, 0], a[:, 1:]
-
-    def second(total, square):
-        return (rest**2) @ square[1:] + 2 * a0 * (rest @ total[1:]) + a0**2 * total[0]
-
-    second_c = np.array([second(s, q) for s, q in zip(sums, squares)])
+    second_c = np.array([fm.second(s, q) for s, q in zip(sums, squares)])
     var = np.maximum(second_c / np.maximum(n, 1)[:, None] - mu**2, 0.0)
     total_n = n.sum()
     mean_all = (n[:, None] * mu).sum(axis=0) / total_n
@@ -152,15 +141,16 @@ def multinomial_bayes(m: Moments, maps, t: int, alpha: float, fit_prior: bool =
     return LinearScorer(fm.pull(logp.T, np.maximum(prior, -1e300)), ARGMAX)
 
 
-def ledoit_wolf_intensity(cov: np.ndarray, mean_fourth: float, n: float) -> float:
-    """Optimal shrinkage toward a scaled identity; ``mean_fourth`` is the mean of ‖x‖⁴."""
-    p = len(cov)
-    mu = np.trace(cov) / p
-    spread = (cov**2).sum()
+def ledoit_wolf_intensity(p: int, trace: float, spread: float, mean_fourth: float, n: float) -> float:
+    """Optimal shrinkage toward a scaled identity of a covariance of ``p`` columns.
+
+    ``spread`` is the sum of its squared entries, ``mean_fourth`` the mean of ‖x‖⁴.
+    """
+    mu = trace / p
     beta = (mean_fourth - spread) / (p * n)
     delta = (spread - p * mu * mu) / p
     beta = min(max(beta, 0.0), delta)
-    return 0.0 if beta == 0 else beta / delta
+    return 0.0 if beta <= 0 else beta / delta
 
 
 def discriminant(m: Moments, maps, t: int, solver: str = "svd", shrinkage=None,
@@ -194,7 +184,7 @@ def discriminant(m: Moments, maps, t: int, solver: str = "svd", shrinkage=None,
                 scale = np.sqrt(np.maximum(np.diag(own), 0))
                 scale[scale < 1e-12] = 1.0
                 z = own / np.outer(scale, scale)
-                s = ledoit_wolf_intensity(z, fourth[c], n[c])
+                s = ledoit_wolf_intensity(d, np.trace(z), (z**2).sum(), fourth[c], n[c])
                 z = (1 - s) * z + s * np.trace(z) / d * np.eye(d)
                 cov += prior[c] * z * np.outer(scale, scale)
     # rank-revealing solve: directions without within-class spread are left out

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -234,29 +235,68 @@ def batches(enc, it: Iterator[pa.RecordBatch]):
             yield enc.batch(rb)
 
 
+def _down(a: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """A value per row, shaped to multiply ``like``."""
+    return a.reshape(-1, *[1] * (like.ndim - 1))
+
+
 @dataclass
 class FeatureMap:
-    """prepared = encoded @ matrix.T, for one training subset."""
+    """prepared = const + scale * encoded[own] + flag_scale * encoded[flag], for one training subset."""
 
-    matrix: np.ndarray
+    encoded: int
     names: list[str]
+    own: np.ndarray
+    scale: np.ndarray
+    const: np.ndarray
+    flag: np.ndarray
+    flag_scale: np.ndarray
 
     @property
     def width(self) -> int:
-        return self.matrix.shape[0]
+        return len(self.own)
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """The same as prepared = encoded @ matrix.T."""
+        out = np.zeros((self.width, self.encoded))
+        at = np.arange(self.width)
+        out[at, self.own] = self.scale
+        out[at, self.flag] += self.flag_scale
+        out[:, 0] += self.const
+        return out
 
     def pull(self, w: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Weights on prepared features as weights on the encoded row."""
-        out = self.matrix.T @ w
-        out[0] += b
+        out = np.zeros((self.encoded, *w.shape[1:]))
+        out[self.own] = _down(self.scale, w) * w
+        np.add.at(out, self.flag, _down(self.flag_scale, w) * w)
+        out[0] += self.const @ w + b
         return out
 
     def push(self, g: np.ndarray) -> np.ndarray:
         """Gradient on the encoded row as (intercept; weights) on prepared features."""
-        return np.vstack([g[:1], self.matrix @ g])
+        own = _down(self.const, g) * g[0] + _down(self.scale, g) * g[self.own] + _down(self.flag_scale, g) * g[self.flag]
+        return np.concatenate([g[:1], own])
+
+    def second(self, total: np.ndarray, square: np.ndarray) -> np.ndarray:
+        """Squared sums of prepared features from the encoded columns' sums and squared sums.
+
+        A prepared feature mixes encoded columns that are never non-zero together
+        (a number and its missing flag; a category and the missing flag).
+        """
+        mixed = self.scale * total[self.own] + self.flag_scale * total[self.flag]
+        return self.scale**2 * square[self.own] + self.flag_scale**2 * square[self.flag] + 2 * self.const * mixed + self.const**2 * total[0]
+
+    def rows(self, batch: DenseBatch) -> np.ndarray:
+        """Prepared features of a batch."""
+        x = batch.u[:, self.own] * self.scale + self.const
+        some = np.flatnonzero(self.flag_scale)
+        x[:, some] += batch.u[:, self.flag[some]] * self.flag_scale[some]
+        return x
 
     def with_one(self) -> np.ndarray:
-        top = np.zeros((1, self.matrix.shape[1]))
+        top = np.zeros((1, self.encoded))
         top[0, 0] = 1.0
         return np.vstack([top, self.matrix])
 
@@ -267,6 +307,8 @@ class DiagonalMap:
     def __init__(self, scale: np.ndarray):
         self.scale = scale
         self.width = len(scale)
+        self.encoded = len(scale) + 1
+        self.own, self.flag = np.arange(1, self.encoded), np.zeros(self.width, int)
 
     @property
     def matrix(self) -> np.ndarray:
@@ -280,6 +322,12 @@ class DiagonalMap:
     def push(self, g):
         return np.vstack([g[:1], self.scale[:, None] * g[1:]])
 
+    def second(self, total, square):
+        return self.scale**2 * square[1:]
+
+    def rows(self, batch: SparseBatch) -> np.ndarray:
+        return batch._dense()[:, 1:] * self.scale
+
     def with_one(self):
         return np.vstack([np.eye(1, self.width + 1), self.matrix])
 
@@ -287,45 +335,34 @@ class DiagonalMap:
 def dense_map(enc: DenseEncoding, sums: np.ndarray, squares: np.ndarray) -> FeatureMap:
     """The preparation a subset learns, from its column sums and squared sums."""
     n = sums[0]
-    rows, names = [], []
     numbers = list(enc.roles.numerical) + list(enc.roles.other)
     flag_at = {j: 1 + enc.n_numbers + i for i, j in enumerate(enc.missing_numbers)}
+    scaled, plain, cats = [], [], []  # (name, own, scale, const, flag, flag_scale)
     for j, name in enumerate(numbers):
-        a = np.zeros(enc.width)
         if j >= len(enc.roles.numerical):
-            a[1 + j], a[0] = enc.scales[j], enc.shifts[j]
-        else:
-            gone = sums[flag_at[j]] if j in flag_at else 0.0
-            if n - gone <= 0:
-                continue
-            mean = sums[1 + j] / (n - gone)
-            var = (squares[1 + j] + gone * mean * mean) / n - mean * mean
-            std = np.sqrt(var) if var > 1e-12 else 1.0
-            a[1 + j], a[0] = 1 / std, -mean / std
-            if j in flag_at:
-                a[flag_at[j]] = mean / std
-        rows.append(a)
-        names.append(name)
+            plain.append((name, 1 + j, enc.scales[j], enc.shifts[j], 0, 0.0))
+            continue
+        gone = sums[flag_at[j]] if j in flag_at else 0.0
+        if n - gone <= 0:
+            continue
+        mean = sums[1 + j] / (n - gone)
+        var = (squares[1 + j] + gone * mean * mean) / n - mean * mean
+        std = np.sqrt(var) if var > 1e-12 else 1.0
+        scaled.append((name, 1 + j, 1 / std, -mean / std, flag_at.get(j, 0), mean / std if j in flag_at else 0.0))
     at = 1 + enc.n_numbers + len(enc.missing_numbers)
     gone_at = at + sum(map(len, enc.vocab))
     flag_at = {j: gone_at + i for i, j in enumerate(enc.missing_categories)}
-    cat_rows, cat_names = [], []
     for j, words in enumerate(enc.vocab):
         counts = sums[at : at + len(words)]
         mode = int(np.argmax(counts)) if len(words) else -1
         for c, word in enumerate(words):
             if counts[c] > 0:
-                a = np.zeros(enc.width)
-                a[at + c] = 1.0
-                if c == mode and j in flag_at:
-                    a[flag_at[j]] = 1.0
-                cat_rows.append(a)
-                cat_names.append(f"{enc.roles.categorical[j]}={word}")
+                filled = c == mode and j in flag_at
+                cats.append((f"{enc.roles.categorical[j]}={word}", at + c, 1.0, 0.0, flag_at[j] if filled else 0, float(filled)))
         at += len(words)
-    k = sum(1 for x in names if x in enc.roles.numerical)
-    rows = rows[:k] + cat_rows + rows[k:]
-    names = names[:k] + cat_names + names[k:]
-    return FeatureMap(np.array(rows).reshape(len(rows), enc.width), names)
+    every = scaled + cats + plain
+    cols = [np.array([x[i] for x in every], kind) for i, kind in ((1, int), (2, float), (3, float), (4, int), (5, float))]
+    return FeatureMap(enc.width, [x[0] for x in every], *cols)
 
 
 def learned_preparation(enc: DenseEncoding, sums: np.ndarray, squares: np.ndarray) -> Preparation:

@@ -185,6 +185,17 @@ def prepared_gram(fm, gram: np.ndarray) -> np.ndarray:
     return a @ gram @ a.T
 
 
+PIECE_BYTES = 32 << 20
+
+
+def pieces(enc, it):
+    """Batches of so few rows that a dense matrix of them stays small."""
+    most = max(1, PIECE_BYTES // (8 * enc.width))
+    for b in batches(enc, it):
+        for at in range(0, b.n, most):
+            yield b if b.n <= most else b.pick((np.arange(b.n) >= at) & (np.arange(b.n) < at + most))
+
+
 def fourth_moments(rows: DataFrame, enc, m: Moments, maps) -> np.ndarray:
     """[subset, class] mean of ‖z‖⁴, z standardised within (subset, class); a second pass."""
     from tablewright.operators.closed import class_scales
@@ -196,10 +207,10 @@ def fourth_moments(rows: DataFrame, enc, m: Moments, maps) -> np.ndarray:
     def accumulate(it):
         total = np.zeros((k + 1, n_classes, 2))
         maps_, scales_ = shared.value
-        for b in batches(enc, it):
+        for b in pieces(enc, it):
             label = b.y.astype(int)
             for t in range(k + 1):
-                x = b.times(maps_[t].matrix.T)
+                x = maps_[t].rows(b)
                 mu, std = scales_[t]
                 z = (x - mu[label]) / std[label]
                 q = (z * z).sum(axis=1) ** 2
