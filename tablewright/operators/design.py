@@ -59,7 +59,9 @@ class SparseBatch:
 
     def times(self, w: np.ndarray) -> np.ndarray:
         out = np.tile(w[0], (self.n, 1)).astype(float)
-        np.add.at(out, self.row, self.val[:, None] * w[self.idx + 1])
+        some = np.flatnonzero(np.diff(self.starts))  # each of these rows runs up to the next one
+        if len(some):
+            out[some] += np.add.reduceat(self.val[:, None] * w[self.idx + 1], self.starts[some], axis=0)
         return out
 
     def transposed_times(self, r: np.ndarray) -> np.ndarray:

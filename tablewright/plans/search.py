@@ -34,6 +34,7 @@ from tablewright.operators.design import (
     sparse_rows,
     sparse_vectors,
 )
+from tablewright.operators.discriminant import fit_discriminants
 from tablewright.operators.linear import fit_linear
 from tablewright.operators.moments import Moments, feature_maps, fold_moments, fourth_moments
 from tablewright.operators.scoring import evaluate_scorers, predict_rows
@@ -226,17 +227,29 @@ def _attempt(points: list[Point], work) -> None:
 
 
 def by_passes(table: TrainingTable, model: str) -> bool:
-    return model in ITERATIVE or (table.wide and model in QUADRATIC)
+    return model in ITERATIVE or (table.wide and model in (*QUADRATIC, "LDA"))
 
 
-def _learn(table: TrainingTable, plan: dict[str, list[Point]], every: list[Point]):
+def fit_by_passes(table: TrainingTable, points: list[Point], subsets: list[int], max_passes: int, missed: set[tuple[int, int]]) -> dict[tuple[int, int], Any]:
+    """{(point, subset): scorer}; discriminant analyses share their passes, all other models theirs."""
+    made: dict[tuple[int, int], Any] = {}
+    for fit, own in ((fit_discriminants, [i for i, p in enumerate(points) if p.model == "LDA"]),
+                     (fit_linear, [i for i, p in enumerate(points) if p.model != "LDA"])):
+        if own:
+            lost: set[tuple[int, int]] = set()
+            asked = [points[i].params if fit is fit_discriminants else (points[i].model, points[i].params) for i in own]
+            found = fit(table.rows, table.enc, table.moments, table.maps, asked, subsets, max_passes, unconverged=lost)
+            made.update({(own[i], t): s for (i, t), s in found.items()})
+            missed.update((own[i], t) for i, t in lost)
+    return made
+
+
+def _learn(table: TrainingTable, every: list[Point]):
     """The sums that the models need; what only 'auto' shrinkage needs can fail alone."""
     auto = [p for p in every if p.model == "LDA" and p.params.get("shrinkage") == "auto"]
     gram = any(p.model in CLOSED or p.model in ITERATIVE for p in every)
     if table.wide:
-        for p in plan.get("LDA", []):
-            p.error = f"ValueError: discriminant analysis keeps a matrix of columns x columns, and {table.enc.width} columns exceed {MAX_GRAM}"
-        auto = []
+        auto = []  # by passes
     found = []
 
     def with_classes(points):
@@ -283,7 +296,7 @@ def _scored(table: TrainingTable, candidates: list[Candidate], max_points: int |
 
     def learn(points):
         nonlocal fourth
-        fourth = _learn(table, plan, every)
+        fourth = _learn(table, every)
 
     _attempt(every, learn)
     if table.moments is None:
@@ -292,7 +305,7 @@ def _scored(table: TrainingTable, candidates: list[Candidate], max_points: int |
     scorers: dict[tuple[int, int], Any] = {}
     index = {id(p): i for i, p in enumerate(every)}
     for name in plan:
-        if name in CLOSED and not (table.wide and name in QUADRATIC):
+        if name in CLOSED and not by_passes(table, name):
             def closed_model(points):
                 p = points[0]
                 scorers.update({(index[id(p)], t): closed_scorer(table, p.model, p.params, t, fourth) for t in range(k)})
@@ -303,8 +316,7 @@ def _scored(table: TrainingTable, candidates: list[Candidate], max_points: int |
     if passes:
         def linear_models(points):
             missed: set[tuple[int, int]] = set()
-            made = fit_linear(table.rows, table.enc, table.moments, table.maps,
-                              [(p.model, p.params) for p in points], list(range(k)), max_passes, unconverged=missed)
+            made = fit_by_passes(table, points, list(range(k)), max_passes, missed)
             lost = {i for i, _ in missed}
             for i in lost:
                 points[i].error = f"ConvergenceError: not at its tolerance after {max_passes} passes"
@@ -360,7 +372,7 @@ def _refit(table, candidates, plan, fourth, id_col, max_passes) -> list[ModelRes
     fitted: dict[str, Any] = {}
 
     def refit(points):
-        made = fit_linear(table.rows, table.enc, table.moments, table.maps, [(p.model, p.params) for p in points], [k], max_passes, unconverged=set())
+        made = fit_by_passes(table, points, [k], max_passes, set())
         fitted.update({points[i].model: s for (i, _), s in made.items()})
 
     if linear:
