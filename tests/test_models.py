@@ -459,7 +459,7 @@ def test_discriminant_by_passes_at_a_thousand_columns(spark):
     from tablewright.operators.discriminant import covariance_spreads, fit_discriminants
 
     d = 1000
-    df, x, y = wide_dense(spark, 1600, d)
+    df, x, y = wide_dense(spark, 3000, d)
     enc = SparseEncoding(d)
     rows = sparse_rows(df, "y", "fold", ["id"]).persist()
     m = fold_moments(rows, enc, K, 3, True, True)
