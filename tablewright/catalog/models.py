@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewright.catalog.common import KEYS, LI, Registry, hash_sql, lineitem, table, with_gaps
 from tablewright.catalog.profile import TERMS, term_rows
+from tablewright.errors import ConvergenceError
 from tablewright.functions.hashing import hash_order
 from tablewright.functions.roles import Roles
 from tablewright.operators import neighbors
+from tablewright.operators.discriminant import fit_discriminants
 from tablewright.operators.linear import fit_linear
 from tablewright.operators.scoring import evaluate_scorers
 from tablewright.plans.roster import SGD_CLASSIFIER, SGD_REGRESSOR, Candidate, distinct_points
@@ -233,6 +235,33 @@ def discriminant_shrunk(spark, sf):
     return _closed(spark, t, "LDA", points, ["shrinkage"])
 
 
+@reg("g05_discriminant_by_passes", f"""with {TRAIN},
+k as (select t.t, c2, count(*)::double nk, avg((x1 - m1) / s1) k1, avg((x2 - m2) / s2) k2, var_pop((x1 - m1) / s1) * count(*) v1,
+  var_pop((x2 - m2) / s2) * count(*) v2, covar_pop((x1 - m1) / s1, (x2 - m2) / s2) * count(*) v12
+  from d join t on d.fold <> t.t join s on s.t = t.t group by 1, 2),
+c as (select t, sum(nk) n, sum(v1) v1, sum(v2) v2, sum(v12) v12, sum(k1) filter (c2 = 1) a1, sum(k2) filter (c2 = 1) a2,
+  sum(k1) filter (c2 = 0) b1, sum(k2) filter (c2 = 0) b2, ln(sum(nk) filter (c2 = 1) / sum(nk) filter (c2 = 0)) lp from k group by t),
+z as (select t, solver, shrinkage, a1, a2, b1, b2, lp, (1 - r) * v1 / f + r * (v1 + v2) / (2 * n) v1, (1 - r) * v2 / f + r * (v1 + v2) / (2 * n) v2,
+  (1 - r) * v12 / f v12
+  from (select c.*, solver, shrinkage, r, case solver when 'svd' then n - 2 else n end f
+    from c, (values ('svd', 'none', 0.0::double), ('lsqr', 'none', 0.0), ('lsqr', '0.5', 0.5), ('lsqr', '0.9', 0.9)) u(solver, shrinkage, r))),
+w as (select *, ((a1 - b1) * v2 - (a2 - b2) * v12) / (v1 * v2 - v12 * v12) w1, ((a2 - b2) * v1 - (a1 - b1) * v12) / (v1 * v2 - v12 * v12) w2 from z)
+select solver, shrinkage, fold, round(avg(((w1 * ((x1 - m1) / s1 - (a1 + b1) / 2) + w2 * ((x2 - m2) / s2 - (a2 + b2) / 2) + lp > 0)::int = c2)::int), 6)::double as score
+from d join w on d.fold = w.t join s on s.t = w.t group by 1, 2, 3""")
+def discriminant_by_passes(spark, sf):
+    """The form for wide tables, which only multiplies the scatter."""
+    t = _dense(spark, sf, CLS2_SQL, "classification", 2)
+    points = [{"solver": s, "shrinkage": r} for s, r in (("svd", None), ("lsqr", None), ("lsqr", 0.5), ("lsqr", 0.9))]
+    t.learn(False, False)
+    missed: set[tuple[int, int]] = set()
+    made = fit_discriminants(t.rows, t.enc, t.moments, t.maps, points, list(range(K)), unconverged=missed)
+    if missed:
+        raise ConvergenceError(f"{len(missed)} discriminant analyses missed their tolerance")
+    got = evaluate_scorers(t.rows, t.enc, made, t.task)
+    t.close()
+    return _scores(spark, [{"solver": p["solver"], "shrinkage": str(p["shrinkage"] or "none")} for p in points], got, ["solver", "shrinkage"])
+
+
 SMOOTHINGS = [1e-9, 1e-8, 1e-7, 1e-6]
 
 
