@@ -8,6 +8,7 @@ from tablewright.catalog.common import Registry, table
 from tablewright.operators.metrics import (
     class_report,
     classification_metrics,
+    confusion_cells,
     confusion_matrix,
     per_class,
     regression_metrics,
@@ -93,6 +94,13 @@ def confusion(spark, sf):
     return confusion_matrix(_classes(spark, sf))
 
 
+@reg("i09_confusion_cells", f"""with {BASE}
+select y as actual, p as predicted, count(*) as n, (sum(count(*)) over (partition by y))::bigint as n_actual,
+  (sum(count(*)) over (partition by p))::bigint as n_predicted from b group by y, p""")
+def confusion_sparse(spark, sf):
+    return confusion_cells(_classes(spark, sf))
+
+
 @reg("i10_class_report", f"""with {BASE}
 select label as "row", round(pr, 9) as precision, round(rc, 9) as recall, round(f1, 9) as f1, support from s
 union all select 'accuracy', round(sum(tp) / sum(support), 9), round(sum(tp) / sum(support), 9), round(sum(tp) / sum(support), 9), sum(support)::bigint from s

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tablewright.session import materialize, pinned
 
 MAX_REPORT_CLASSES = 10
+MAX_SQUARE_CLASSES = 1000  # of a matrix with its zeros
 
 
 def pair_counts(df: DataFrame, truth: str = "y", pred: str = "p", by: Sequence[str] = ()) -> DataFrame:
@@ -21,13 +22,33 @@ def pair_counts(df: DataFrame, truth: str = "y", pred: str = "p", by: Sequence[s
     return df.groupBy(*by, F.col(truth).alias("actual"), F.col(pred).alias("predicted")).agg(F.count("*").alias("n"))
 
 
+def confusion_cells(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
+    """The confusion matrix without its zeros, for any number of labels: ``actual, predicted, n, n_actual, n_predicted``.
+
+    The last two are the totals of the cell's row and column; they are summed per
+    label from the counts, so no label's cells meet in one task.
+    """
+    counts = pair_counts(df, truth, pred)
+    rows = counts.groupBy("actual").agg(F.sum("n").alias("n_actual"))
+    columns = counts.groupBy("predicted").agg(F.sum("n").alias("n_predicted"))
+    # null labels count as a label
+    cells = counts.alias("c").join(rows.alias("r"), F.col("c.actual").eqNullSafe(F.col("r.actual"))).join(
+        columns.alias("p"), F.col("c.predicted").eqNullSafe(F.col("p.predicted")))
+    return cells.select("c.actual", "c.predicted", "n", "n_actual", "n_predicted")
+
+
 def confusion_matrix(df: DataFrame, truth: str = "y", pred: str = "p") -> DataFrame:
-    """``actual, predicted, n`` over every pair of the label union, zeros included."""
+    """``actual, predicted, n`` over every pair of the label union, zeros included.
+
+    More than ``MAX_SQUARE_CLASSES`` labels are an error; ``confusion_cells`` takes any number.
+    """
     counts = pair_counts(df, truth, pred)
-    labels = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
-    # the label set as one array; pairs come from exploding it twice, with no join
+    labels = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct().limit(MAX_SQUARE_CLASSES + 1)
+    # the label set as one array of bounded size; pairs come from exploding it twice, with no join
+    found = F.array_sort(F.collect_set("label"))
+    too_many = F.raise_error(F.lit(f"more than {MAX_SQUARE_CLASSES} labels: confusion_cells gives their counts without zeros"))
     square = (
-        labels.agg(F.array_sort(F.collect_set("label")).alias("ls"))
+        labels.agg(F.when(F.count(F.lit(1)) > MAX_SQUARE_CLASSES, too_many).otherwise(found).alias("ls"))
         .select(F.explode("ls").alias("actual"), "ls")
         .select("actual", F.explode("ls").alias("predicted"))
     )

@@ -8,7 +8,7 @@ from samples import KEYS
 from tablewright.errors import EmptyDataError
 from tablewright.functions.roles import Roles, assign_roles
 from tablewright.operators.inference import infer_task
-from tablewright.operators.metrics import class_report, classification_metrics, confusion_matrix, regression_metrics, roc_auc
+from tablewright.operators.metrics import class_report, classification_metrics, confusion_cells, confusion_matrix, regression_metrics, roc_auc
 from tablewright.operators.prepare import category_counts, fit_preparation, max_abs_scale, modes
 from tablewright.operators.profile import class_balance, dense_shape
 from tablewright.operators.split import assign_folds, fold_allocation, holdout_quotas, holdout_split, largest_remainder, split_and_fold
@@ -194,3 +194,17 @@ def test_grid_order_and_rules():
     assert [c.model for c in candidates(R, 6000, 10)] == ["LinearSVR", "Ridge", "SGDRegressor", "ElasticNet"]
     assert "MultinomialNB" in [c.model for c in candidates(C, 200, 50, True)]
     assert "KNN" in [c.model for c in candidates(R, 4999, 50)]
+
+
+def test_confusion_of_many_labels_has_no_zeros(spark):
+    df = spark.range(6000).select((F.col("id") % 1500).alias("y"), F.when(F.col("id") < 3000, F.col("id") % 1500).otherwise(7).alias("p"))
+    cells = {(r["actual"], r["predicted"]): tuple(r)[2:] for r in confusion_cells(df).collect()}
+    assert len(cells) == 1500 + 1499 and cells[3, 3] == (2, 4, 2) and cells[3, 7] == (2, 4, 3002) and cells[7, 7] == (4, 4, 3002)
+    with pytest.raises(Exception, match="more than 1000 labels"):
+        confusion_matrix(df).collect()
+
+
+def test_confusion_cells_of_nulls_and_no_rows(spark):
+    df = spark.createDataFrame([("a", None), (None, None), ("a", "a")], "y string, p string")
+    assert {tuple(r) for r in confusion_cells(df).collect()} == {("a", None, 1, 2, 2), (None, None, 1, 1, 2), ("a", "a", 1, 2, 1)}
+    assert confusion_cells(df.limit(0)).count() == 0
