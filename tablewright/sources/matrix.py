@@ -52,12 +52,13 @@ def sparse_pairs(value: Column) -> Column:
 
 
 def add_duplicates(pairs: Column) -> Column:
-    """Sum the values of equal indices of pairs sorted by index: one walk over the runs."""
+    """Sum the values of equal indices of pairs sorted by index: one walk over the runs. No pairs give none."""
     at = F.sequence(F.lit(1), F.size(pairs))
     new = F.filter(at, lambda i: (i == 1) | (F.element_at(pairs, i)["idx"] != F.get(pairs, i - 2)["idx"]))
     begins = F.when(F.size(pairs) > 0, new).otherwise(F.array().cast("array<int>"))
+    ends = F.when(F.size(pairs) > 0, F.concat(F.slice(begins, 2, F.size(pairs) + 1), F.array(F.size(pairs) + 1))).otherwise(F.array().cast("array<int>"))
     return F.transform(
-        F.arrays_zip(begins.alias("a"), F.concat(F.slice(begins, 2, F.size(pairs) + 1), F.array(F.size(pairs) + 1)).alias("b")),
+        F.arrays_zip(begins.alias("a"), ends.alias("b")),
         lambda r: F.struct(
             F.element_at(pairs, r["a"])["idx"].alias("idx"),
             F.aggregate(F.slice(pairs, r["a"], r["b"] - r["a"]), F.lit(0.0), lambda acc, p: acc + p["val"]).alias("val"),
