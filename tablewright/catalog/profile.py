@@ -18,7 +18,6 @@ from tablewright.operators.profile import (
     sparse_shape,
     treatment_distribution,
 )
-from tablewright.sources.matrix import add_duplicates
 from tablewright.session import spread
 
 reg = Registry()
@@ -29,14 +28,18 @@ def _gaps(spark, sf):
     return with_gaps(lineitem(spark, sf))
 
 
+CELLS = "array<struct<idx:int,val:double>>"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
 def term_rows(spark, sf):
     """Documents as sparse rows: counts of words by first letter (26 columns)."""
     d = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
-    letters = F.filter(F.transform(F.split(F.lower("text"), r"[^a-z]+"), lambda w: F.ascii(F.substring(w, 1, 1)) - 97),
-                       lambda c: (c >= 0) & (c < 26))
-    ones = F.array_sort(F.transform(letters, lambda c: F.struct(c.alias("idx"), F.lit(1.0).alias("val"))))
-    # counted inside the row: nothing is shuffled
-    cells = d.select("doc_id", "lang", ones.alias("sorted")).withColumn("c", add_duplicates(F.col("sorted")))
+    # first letters of the words, then how much shorter the string is without a letter; nothing is shuffled
+    firsts = d.select("doc_id", "lang", F.regexp_replace(F.lower("text"), "[^a-z]*+([a-z]?+)[a-z]*+", "$1").alias("s"))
+    n = [F.length("s") - F.length(F.replace("s", F.lit(c), F.lit(""))) for c in LETTERS]
+    every = F.array(*[F.struct(F.lit(i).alias("idx"), x.cast("double").alias("val")) for i, x in enumerate(n)])
+    cells = firsts.select("doc_id", "lang", F.filter(F.when(F.col("s").isNotNull(), every).otherwise(F.array().cast(CELLS)), lambda c: c["val"] > 0).alias("c"))
     return cells.select("doc_id", "lang", F.transform("c", lambda s: s["idx"]).alias("indices"), F.transform("c", lambda s: s["val"]).alias("values"))
 
 
