@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,8 +27,7 @@ from tablewright.operators.prepare import (
 )
 from tablewright.operators.select import anova_f, correlation_f, large_data_chain, sparse_anova_f, sparse_correlation_f, top_features
 from tablewright.operators.split import assign_folds, holdout_split
-from tablewright.session import spread
-from tablewright.sources.matrix import add_duplicates
+from tablewright.session import ship, spread
 
 reg = Registry()
 
@@ -149,12 +153,27 @@ words as (select doc_id, lang, n_chars, unnest(string_split_regex(lower(text), '
 cells as (select doc_id, lang, n_chars, w, count(*)::double as val from words where w <> '' group by all)"""
 
 
+def word_counts():
+    """Words of lower-case texts in order, with their numbers of occurrences."""
+    word = re.compile("[a-z]+")
+
+    @F.arrow_udf("indices array<string>, values array<double>")
+    def count(texts: pa.Array) -> pa.Array:
+        found = [sorted(Counter(word.findall(t)).items()) if t else [] for t in texts.to_pylist()]
+        ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+        words = pa.ListArray.from_arrays(ends, pa.array([w for f in found for w, _ in f], pa.string()))
+        counts = pa.ListArray.from_arrays(ends, pa.array([n for f in found for _, n in f], pa.float64()))
+        return pa.StructArray.from_arrays([words, counts], ["indices", "values"])
+
+    return count
+
+
 def _word_rows(spark, sf) -> DataFrame:
     """Documents as sparse rows: how often each whole word occurs."""
-    d = spread(table(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text"))
-    ones = F.array_sort(F.transform(F.filter(F.split(F.lower("text"), r"[^a-z]+"), lambda w: w != ""), lambda w: F.struct(w.alias("idx"), F.lit(1.0).alias("val"))))
-    c = d.select("lang", "n_chars", ones.alias("sorted")).withColumn("c", add_duplicates(F.col("sorted")))
-    return c.select("lang", "n_chars", F.transform("c", lambda s: s["idx"]).alias("indices"), F.transform("c", lambda s: s["val"]).alias("values"))
+    d = spread(table(spark, sf, "documents").select("lang", "n_chars", "text"))
+    ship(spark)
+    c = d.select("lang", "n_chars", word_counts()(F.lower("text")).alias("c"))
+    return c.select("lang", "n_chars", F.col("c.indices").alias("indices"), F.col("c.values").alias("values"))
 
 
 @reg("e08_top_words_anova", f"""with {WORDS_SQL},
