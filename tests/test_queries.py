@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tablewright.catalog import all_queries
 from tablewright.catalog.prepare import _word_rows
 from tablewright.catalog.profile import term_rows
+from tablewright.session import spread
 from tablewright.sources.matrix import add_duplicates
 
 
@@ -37,3 +38,9 @@ def test_no_pairs_have_no_sums(spark):
 def test_sparse_models_take_wordless_unlabelled_and_other_languages(spark, odd_documents, name):
     scores = [r["score"] for r in all_queries()[name](spark, odd_documents).collect()]
     assert len(scores) >= 9 and all(s > 0.85 for s in scores)
+
+
+def test_shares_of_a_table_that_just_fills_the_cores_are_small(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = [spread(spark.range(0, 1000, 1, n)).rdd.getNumPartitions() for n in (1, cores, 2 * cores - 1, 2 * cores, 5 * cores)]
+    assert parts == [cores, 8 * cores, 8 * cores, 2 * cores, 5 * cores]
