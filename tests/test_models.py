@@ -511,3 +511,22 @@ def test_discriminant_above_the_matrix_limit(spark):
     made = predict_rows(t.rows, t.enc, got.fitted, t.keep).orderBy("id").toPandas()
     t.close()
     assert (made["p"].to_numpy() == want).mean() == 1.0
+
+
+@pytest.mark.parametrize("model, point", [("LogisticRegression", {"C": 1.0, "solver": "liblinear"}), ("SGDClassifier", {"loss": "log_loss", "alpha": 0.001, "l1_ratio": 0.15}),
+                                          ("LogisticRegression", {"C": 1.0, "solver": "saga", "l1_ratio": 0.5})])
+def test_large_tables_begin_near_the_optimum(setup, monkeypatch, model, point):
+    """The optimum of all rows, in few passes over them."""
+    from tablewright.operators import linear
+
+    rows, m, maps = setup[2]["cls2"]
+    enc, passes = setup[1], []
+    plain = linear._newton_pass
+    monkeypatch.setattr(linear, "_newton_pass", lambda r, *a: (passes.append(r is rows), plain(r, *a))[1])
+    whole = linear.fit_linear(rows, enc, m, maps, [(model, point)], subsets=[0])[(0, 0)]
+    before = sum(passes)
+    passes.clear()
+    near = linear.fit_linear(rows, enc, m, maps, [(model, point)], subsets=[0], start_rows=150)[(0, 0)]
+    assert 0 < sum(passes) < before and len(passes) > sum(passes)
+    both = [maps[0].with_one() @ s.weights[:, 0] for s in (whole, near)]
+    assert np.abs(both[0] - both[1]).max() < 0.03 * max(1, np.abs(both[0]).max())
