@@ -184,3 +184,17 @@ def test_softmax_boosting_is_no_worse_than_one_against_the_rest(tables):
     share = np.stack(apart, 1)
     share /= share.sum(1, keepdims=True)
     assert joint <= -np.log(share[np.arange(len(share)), truth[held].astype(int)]).sum() * 1.02
+
+
+def test_nodes_below_small_ones_reach_the_driver_as_arrays(tables, monkeypatch):
+    t = tables["value"]
+    added = []
+    add = g.Tree.add
+    monkeypatch.setattr(g.Tree, "add", lambda self, *a: added.append(1) or add(self, *a))
+    point = ("DecisionTree", {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1}, 0)
+    (deep,) = fit_points(t.rows, t.enc, t.moments, [point], False, 1, ["id"], local_cells=0, local_rows=60)
+    feature, _, left, depth, n, value = deep.forest.trees[0]
+    assert len(added) < len(feature) / 2  # the driver made objects of the upper nodes only
+    inner = np.flatnonzero(feature >= 0)
+    assert sorted([*left[inner], *(left[inner] + 1)]) == list(range(1, len(feature)))
+    assert (depth[left[inner]] == depth[inner] + 1).all() and np.allclose(n[left[inner]] + n[left[inner] + 1], n[inner])
