@@ -6,7 +6,8 @@ import pytest
 from tablewright.functions.roles import Roles
 from tablewright.operators import grower as g
 from tablewright.operators.design import batches
-from tablewright.operators.trees import fit_points, stem_of
+from tablewright.operators.scoring import evaluate_scorers
+from tablewright.operators.trees import REFRESH, Levels, fit_points, stem_of
 from tablewright.plans.search import TrainingTable
 
 N, K = 1000, 3
@@ -198,3 +199,55 @@ def test_nodes_below_small_ones_reach_the_driver_as_arrays(tables, monkeypatch):
     inner = np.flatnonzero(feature >= 0)
     assert sorted([*left[inner], *(left[inner] + 1)]) == list(range(1, len(feature)))
     assert (depth[left[inner]] == depth[inner] + 1).all() and np.allclose(n[left[inner]] + n[left[inner] + 1], n[inner])
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, tables):
+    """Every row of the table four times, under other keys and in other folds, and one row 5,000 times more."""
+    from pyspark.sql import functions as F
+    made = {}
+    for y, task, k in (("value", "regression", 0), ("three", "classification", 3)):
+        df = tables[y].df
+        more = df.crossJoin(spark.range(4).withColumnRenamed("id", "copy")).unionByName(
+            df.where("id = 7").crossJoin(spark.range(10, 5010).withColumnRenamed("id", "copy")))
+        df = more.withColumn("id", F.col("id") + 1000 * F.col("copy")).withColumn("fold", ((F.col("fold") + F.when(F.col("copy") < 2, 0).otherwise(1)) % K).cast("int"))
+        t = TrainingTable(df.drop("copy").repartition(6), task, k, K, Roles(("a", "b"), ("c",)), None, {"id": "bigint"})
+        t.learn(False, False)
+        made[y] = t
+    yield made
+    for t in made.values():
+        t.close()
+
+
+def test_equal_rows_are_one_row_of_a_pass(repeated):
+    t = repeated["value"]
+    sizes = np.array([len(r["__keys"]) for r in t.groups().collect()])
+    assert sizes.sum() == t.rows.count() == 4 * N + 5000
+    assert len(sizes) < 2 * N + 20 and sizes.max() < 2500  # the large group is dealt out
+
+
+@pytest.mark.parametrize("y, model, p", [
+    ("three", "DecisionTree", {"max_depth": 6, "min_samples_split": 20, "min_samples_leaf": 5, "criterion": "gini"}),
+    ("value", "ExtraTrees", {"n_estimators": 3, "max_depth": 5, "min_samples_split": 5}),
+    ("value", "RandomForest", {"n_estimators": 3, "max_depth": 5, "min_samples_split": 5, "max_features": None}),
+    ("three", "GradientBoosting", {"n_estimators": 7, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8}),
+])
+def test_equal_rows_grow_the_trees_of_all_their_rows(repeated, y, model, p):
+    t = repeated[y]
+    args = (t.rows, t.enc, t.moments, [(model, p, 0)], t.task == "classification", t.n_classes, ["id"])
+    (whole,), (levels,) = fit_points(*args), fit_points(*args, local_cells=0, local_rows=60, groups=t.groups)
+    _, _, _, batch = data(t, whole)
+    assert (np.abs(whole.predict(batch) - levels.predict(batch)) < 1e-6).mean() > 0.98
+    assert abs(levels.forest.trees[0][4][0] / whole.forest.trees[0][4][0] - 1) < 1e-6  # rows of the root: all of them
+    key = {(0, 0): levels}
+    by_rows, by_groups = (evaluate_scorers(r, t.enc, key, t.task) for r in (t.rows, t.judged))
+    assert t.judged is not t.rows and abs(by_rows[0, 0] - by_groups[0, 0]) < 1e-9
+
+
+def test_boosting_reads_new_trees_only(tables, monkeypatch):
+    t, most = tables["two"], []
+    scoring = Levels._scoring
+    monkeypatch.setattr(Levels, "_scoring", lambda self: most.append(max(map(len, scoring(self)[0]))) or scoring(self))
+    p = {"n_estimators": 8, "learning_rate": 0.1, "max_depth": 2, "subsample": 1.0}
+    (levels,) = fit_points(t.rows, t.enc, t.moments, [("GradientBoosting", p, 0)], True, 2, ["id"], local_cells=0)
+    assert len(levels.forest.trees) == 8 and max(most) <= REFRESH
