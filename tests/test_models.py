@@ -530,3 +530,28 @@ def test_large_tables_begin_near_the_optimum(setup, monkeypatch, model, point):
     assert 0 < sum(passes) < before and len(passes) > sum(passes)
     both = [maps[0].with_one() @ s.weights[:, 0] for s in (whole, near)]
     assert np.abs(both[0] - both[1]).max() < 0.03 * max(1, np.abs(both[0]).max())
+
+
+@pytest.mark.parametrize("target,points", [
+    ("cls3", [("LinearSVC", {"C": 1}), ("LogisticRegression", {"C": 1, "solver": "lbfgs"})]),
+    ("y", [("LinearSVR", {"C": 1, "epsilon": 0.1, "loss": "squared_epsilon_insensitive"})]),
+])
+def test_passes_over_packed_rows_give_the_same_fits(setup, target, points):
+    from tablewright.operators.design import packed
+    from tablewright.operators.scoring import evaluate_scorers
+
+    pdf, enc, made = setup
+    rows, m, maps = made[target]
+    blocks = packed(rows, enc).persist()
+    n = (pdf.fold >= 0).sum()
+    assert blocks.count() < n / 10  # a pass gets blocks, not rows
+    again = fold_moments(blocks, enc, K, m.n_classes, class_gram=m.class_gram is not None)
+    assert np.allclose(again.sums, m.sums) and np.allclose(again.gram, m.gram) and again.n(K) == n
+    task = "regression" if target == "y" else "classification"
+    plain = fit_linear(rows, enc, m, maps, points, subsets=[0, 1])
+    fast = fit_linear(rows, enc, m, maps, points, subsets=[0, 1], blocks=blocks)
+    for key, s in plain.items():
+        assert np.allclose(fast[key].weights, s.weights, atol=1e-5), points[key[0]]
+    old, new = evaluate_scorers(rows, enc, plain, task), evaluate_scorers(blocks, enc, fast, task)
+    assert old.keys() == new.keys() and all(abs(old[k] - new[k]) < 1e-4 * max(1, abs(old[k])) for k in old)
+    blocks.unpersist()
