@@ -131,3 +131,19 @@ def test_sniffed_delimiter(spark, tmp_path, line, sep):
     p = put(tmp_path / "x.csv", line + "\n")
     assert sniff_delimiter(spark, p) == sep
     assert len(read_delimited(spark, p).columns) == (2 if line != "12" else 1)
+
+
+def test_files_of_one_sorted_table_stay_row_by_row(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tablewright.sources.sinks import write_lines
+
+    # all keys are equal but for three values: nothing but the one sort says which line goes with which target
+    df = spark.range(5000).repartition(7).select((F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("v")).orderBy("k").persist()
+    for name in ("data", "solution"):
+        write_lines(df, F.col("v"), [], str(tmp_path / name))
+    df.unpersist()
+    a, b = (indexed_lines(spark, str(tmp_path / name)).withColumnRenamed("value", name) for name in ("data", "solution"))
+    both = a.join(b, "row_id")
+    assert both.count() == 5000 and both.where("data <> solution").isEmpty()
+    assert both.withColumn("k", F.col("data").cast("long") % 3).agg(F.corr("k", "row_id")).first()[0] > 0.9
