@@ -296,6 +296,39 @@ def test_passages_whatever_lies_between(table, between):
     assert not any(got[i].n_shared for i in got if i > 1)
 
 
+@pytest.mark.parametrize("between", [12, 80])
+def test_similar_passages_whatever_lies_between(table, between):
+    rng = random.Random(between)
+    prose = lambda n: [f"p{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = prose(50)
+    begin, end = prose(30), prose(30)
+    # 42 words in a row are the same, the last ones differ: 38 of 46 shingles
+    first, last = (0, " ".join(begin + passage + end)), (1, " ".join(prose(30) + passage[:42] + prose(38)))
+    docs = [(2 + i, " ".join(w for c in range(0, 46, 6) for w in prose(60) + passage[c : c + 10]) + " " + " ".join(prose(60))) for i in range(between)]
+    # 40 words are too few, and the same word again and again makes no shingles
+    docs += [(900, " ".join(prose(30) + passage[:40] + prose(40))), (901, " ".join(passage[:1] * 45 + prose(60))), (902, " ".join(prose(60) + passage[:1] * 45))]
+    got = {r.doc_id: r for r in passages.shared_passages(table([first, *docs, last])).collect()}
+    for i in range(2):
+        assert any(s.start <= 30 and s.end >= 72 for s in got[i].shared), i
+    assert sum(bool(got[i].n_later) for i in range(2)) == 1
+    assert not any(got[i].n_shared for i in got if i > 1)
+
+
+def test_equal_texts_are_one_document(table):
+    rng = random.Random(12)
+    prose = lambda n: [f"p{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = prose(60)
+    changed = passage[:30] + ["other"] + passage[31:]
+    text = " ".join(prose(40) + passage)
+    # a copy with one changed word, among more equal texts than all pairs are made of
+    docs = [(i, text) for i in range(60)] + [(100, " ".join(prose(30) + changed)), (101, " ".join(prose(70)))]
+    got = {r.doc_id: r for r in passages.shared_passages(table(docs)).collect()}
+    assert all([tuple(s) for s in got[i].shared] == [(0, 100)] for i in range(60))
+    assert sum(r.n_later == 100 for r in got.values()) >= 59
+    assert any(s.start <= 31 and s.end >= 89 for s in got[100].shared)
+    assert got[101].n_shared == 0
+
+
 @pytest.mark.parametrize("others", [1, 50])
 def test_copies_within_one_document(table, others):
     rng = random.Random(others)
