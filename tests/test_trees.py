@@ -251,3 +251,31 @@ def test_boosting_reads_new_trees_only(tables, monkeypatch):
     p = {"n_estimators": 8, "learning_rate": 0.1, "max_depth": 2, "subsample": 1.0}
     (levels,) = fit_points(t.rows, t.enc, t.moments, [("GradientBoosting", p, 0)], True, 2, ["id"], local_cells=0)
     assert len(levels.forest.trees) == 8 and max(most) <= REFRESH
+
+
+@pytest.mark.parametrize("y, model, p, column", [
+    ("three", "DecisionTree", {"max_depth": 6, "min_samples_split": 20, "min_samples_leaf": 5, "criterion": "gini"}, "__times"),
+    ("value", "RandomForest", {"n_estimators": 5, "max_depth": 5, "min_samples_split": 5, "max_features": None}, "__drawn"),
+])
+def test_passes_of_equal_rows_read_no_keys(repeated, monkeypatch, y, model, p, column):
+    from tablewright.operators import trees as module
+
+    t, seen = repeated[y], []
+    own = Levels.__init__
+    monkeypatch.setattr(Levels, "__init__", lambda self, rows, *more: seen.append(rows.columns) or own(self, rows, *more))
+    args = (t.rows, t.enc, t.moments, [(model, p, 0)], t.task == "classification", t.n_classes, ["id"])
+    more = dict(local_cells=0, local_rows=60, groups=t.groups)
+    (short,) = fit_points(*args, **more)
+    monkeypatch.setattr(module, "ONCE", 0)
+    monkeypatch.setattr(module, "draws", lambda stems: True)
+    (keyed,) = fit_points(*args, **more)
+    assert column in seen[0] and "__keys" not in seen[0] and "__keys" in seen[1]
+    _, _, _, batch = data(t, short)
+    assert np.array_equal(short.forest.trees[0][4], keyed.forest.trees[0][4])
+    assert np.allclose(short.predict(batch), keyed.predict(batch))
+
+
+def test_poisson_draws_by_their_first_bits():
+    bits = np.random.default_rng(5).integers(0, 1 << 64, 200_000, dtype=np.uint64, endpoint=False)
+    bits = np.concatenate([bits, (g.POISSON[:12, None] * 2.0**53 + np.arange(-2, 3)).astype(np.uint64).ravel() << np.uint64(11)])
+    assert np.array_equal(g.poisson(bits), np.searchsorted(g.POISSON, g.uniform(bits)))
