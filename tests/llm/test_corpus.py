@@ -314,6 +314,30 @@ def test_similar_passages_whatever_lies_between(table, between):
     assert not any(got[i].n_shared for i in got if i > 1)
 
 
+@pytest.mark.parametrize("between", [12, 200])
+def test_passages_without_a_common_run_whatever_lies_between(table, between):
+    rng = random.Random(between)
+    prose = lambda n: [f"p{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = prose(50)
+    # copies 100 and 101 differ in a word in their middle: 41 of 46 shingles, but no run of 41 words
+    copies = [(100, " ".join(prose(30) + passage + prose(30))), (101, " ".join(prose(30) + passage[:25] + ["other"] + passage[26:] + prose(30)))]
+    docs = [(200 + i, " ".join(w for c in range(0, 46, 6) for w in prose(60) + passage[c : c + 10]) + " " + " ".join(prose(60))) for i in range(between)]
+    got = {r.doc_id: r for r in passages.shared_passages(table([copies[0], *docs, copies[1]])).collect()}
+    assert all(any(s.start <= 30 and s.end >= 80 for s in got[i].shared) for i in (100, 101))
+    assert sum(bool(got[i].n_later) for i in (100, 101)) == 1
+    assert not any(got[i].n_shared for i in got if i >= 200)
+
+
+def test_every_copy_with_a_change_of_its_own_is_found(table):
+    rng = random.Random(5)
+    prose = lambda n: [f"p{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = prose(50)
+    # each pair of changed copies is at 36 of 56 shingles: only with the one that has no change they are at 41 of 51
+    copies = [(i, " ".join(prose(30) + passage[: 12 + i % 26] + [f"other{i}"] + passage[13 + i % 26 :] + prose(30))) for i in range(120)]
+    got = {r.doc_id: r for r in passages.shared_passages(table([*copies, (500, " ".join(prose(30) + passage + prose(30)))])).collect()}
+    assert all(any(s.start <= 30 and s.end >= 80 for s in r.shared) for r in got.values())
+
+
 def test_equal_texts_are_one_document(table):
     rng = random.Random(12)
     prose = lambda n: [f"p{rng.randint(0, 10**9)}" for _ in range(n)]
